@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harrow.llm import html_text, mixing, quality, sentencepieces, token_counts, url_reputation
+from harrow.llm import ann, html_text, mixing, quality, sentencepieces, token_counts, topk, url_reputation
 from harrow.llm.common import checkpoint, small_batches, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,13 @@ def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_pages(table(spark, sf_dir, "pages")).select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
 
 
+def op2_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """20 nearest found of every 20th vector among all."""
+    small_batches(spark, 8)
+    vectors = table(spark, sf_dir, "embeddings")
+    return ann.nearest(vectors.where(F.col("vec_id") % 20 == 0), vectors)
+
+
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document and what they decode to, as digests."""
     small_batches(spark)
@@ -64,6 +71,13 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path("byte_bpe_50k.json")).select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+def op8_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """20 highest integer scores of every 20th vector among all."""
+    small_batches(spark, 4)
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk.top_k(vectors.where(F.col("vec_id") % 20 == 0), vectors)
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words the mix takes of every document."""
     sized = checkpoint(mixing.with_size(table(spark, sf_dir, "documents").select("doc_id", "text", "source")).drop("text"))
@@ -74,10 +88,12 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_html_text": op1_html_text,
+        "op2_ann": op2_ann,
         "op3_sentencepiece": op3_sentencepiece,
         "op4_quality": op4_quality,
         "op6_url_filter": op6_url_filter,
         "op7_token_counts": op7_token_counts,
+        "op8_exact_topk": op8_exact_topk,
         "op9_mixing": op9_mixing,
     }
 
