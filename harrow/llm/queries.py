@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harrow.llm import ann, html_text, mixing, quality, sentencepieces, token_counts, topk, url_reputation
+from harrow.llm import ann, html_text, jaccard_join, mixing, quality, sentencepieces, token_counts, topk, url_reputation
 from harrow.llm.common import checkpoint, small_batches, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,6 +60,12 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(docs, model).select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of every document under links of shared word 5-grams."""
+    small_batches(spark)
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict on every page's url."""
     return url_reputation.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES).select("page_id", "host", "path", "rule", "verdict", F.col("lower").alias("bad_rate_lower"))
@@ -91,6 +97,7 @@ def queries() -> dict[str, Query]:
         "op2_ann": op2_ann,
         "op3_sentencepiece": op3_sentencepiece,
         "op4_quality": op4_quality,
+        "op5_jaccard_join": op5_jaccard_join,
         "op6_url_filter": op6_url_filter,
         "op7_token_counts": op7_token_counts,
         "op8_exact_topk": op8_exact_topk,
