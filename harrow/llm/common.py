@@ -38,3 +38,10 @@ def small_batches(spark: SparkSession, rows: int = 500) -> None:
     """Arrow batches of so many rows at most: documents may be long, and a worker holds a batch at a time."""
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) != rows:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The frame, written as a table in the shared folder: compressed, and read back by column."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -39,7 +39,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from harrow.llm.common import checkpoint
+from harrow.llm.common import checkpoint, stored
 from harrow.llm.components import components
 from harrow.llm.memo import Memo
 
@@ -301,7 +301,7 @@ def hot_links(classes: DataFrame, block_rows: int = 512) -> DataFrame:
 def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text", common_over: int = 32, most_common: int = 1_000_000) -> DataFrame:
     """A row per document: the key, n_shingles and component_id (smallest key reachable by links, its own included)."""
     common = common_shingles(docs, text, common_over, most_common)
-    rows = checkpoint(prepared(docs, key, text, common))
+    rows = stored(prepared(docs, key, text, common), "shingles")
     members = rows.where("n > 0").groupBy("d1", "d2").agg(F.min("id").alias("class"))
     pairs = checkpoint(candidates(shared_counts(rows)))
     wanted = pairs.select(F.col("a").alias("d1")).union(pairs.select("b")).distinct()

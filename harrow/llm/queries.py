@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harrow.llm import ann, html_text, jaccard_join, mixing, quality, sentencepieces, token_counts, topk, url_reputation
+from harrow.llm import ann, html_text, jaccard_join, mixing, quality, sentencepieces, substring_dedup, token_counts, topk, url_reputation
 from harrow.llm.common import checkpoint, small_batches, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -91,6 +91,20 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(sized, sources, mixing.shard_blocks(sources)).select("doc_id", "source", "size", "source_size", "target", "taken")
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without passages of 35 words that occur elsewhere."""
+    small_batches(spark)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    blank = r"[\x20\x09-\x0D]+"
+    whole = F.trim(F.regexp_replace(F.coalesce("text", F.lit("")), blank, " "))
+    n_words = F.when(whole == "", 0).otherwise(F.length(whole) - F.length(F.translate(whole, " ", "")) + 1).cast("long")
+    sha = lambda text: F.sha2(text.cast("binary"), 256)
+    all_docs = docs.select("doc_id", F.xxhash64("text").alias("h"), n_words.alias("n_words"), sha(whole).alias("whole_sha256"))
+    changed = substring_dedup.without_repeats(docs).select(F.col("id").alias("doc_id"), "h", "n_removed", sha(F.col("kept")).alias("cut_sha256"))
+    joined = all_docs.join(changed, ["doc_id", "h"], "left")
+    return joined.select("doc_id", "n_words", F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"), F.coalesce("cut_sha256", "whole_sha256").alias("kept_sha256"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_html_text": op1_html_text,
@@ -102,6 +116,7 @@ def queries() -> dict[str, Query]:
         "op7_token_counts": op7_token_counts,
         "op8_exact_topk": op8_exact_topk,
         "op9_mixing": op9_mixing,
+        "op10_substring_dedup": op10_substring_dedup,
     }
 
 
