@@ -137,17 +137,18 @@ def mix_documents(sized: DataFrame, sources: DataFrame, blocks: DataFrame, *, mo
 
     A document that the end of its source's target cuts gives only the words before the cut.
     """
-    drawn = blocks.groupBy("ordinal").agg(F.sort_array(F.collect_list(F.struct("block", "shard", "place", "first_word", "n_words"))).alias("drawn"), F.first("block_words").alias("block_words"))
-    facts = checkpoint(sources.select(F.col("source").alias("_s"), "ordinal", "source_size", "target", "buckets").join(drawn, "ordinal", "left"))
-    if facts.count() <= most_broadcast:  # with ``drawn`` bounded by the number of blocks, so is the whole
-        facts = F.broadcast(facts)
+    drawn = checkpoint(blocks.groupBy("ordinal").agg(F.sort_array(F.collect_list(F.struct("block", "shard", "place", "first_word", "n_words"))).alias("drawn"), F.first("block_words").alias("block_words")))
+    facts = sources.select(F.col("source").alias("_s"), "ordinal", "source_size", "target", "buckets")
+    if sources.count() <= most_broadcast:  # ``drawn`` holds the blocks, whose number is bounded, and a row per source
+        facts, drawn = F.broadcast(facts), F.broadcast(drawn)
     placed = sized.drop("source_size", "target", "taken", "pieces").join(facts, F.col("source").eqNullSafe(F.col("_s"))).drop("_s").withColumn("_bucket", F.pmod(F.shiftright("place", 20), F.col("buckets")))
     # A bucket's offset in its source's stream: a running sum over the source's buckets.
     ahead = Window.partitionBy("ordinal").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = placed.groupBy("ordinal", "_bucket").agg(F.sum("size").alias("words")).select("ordinal", "_bucket", F.coalesce(F.sum("words").over(ahead), F.lit(0).cast("long")).alias("_start"))
     within = Window.partitionBy("ordinal", "_bucket").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
     ordered = placed.withColumn("_before", F.coalesce(F.sum("size").over(within), F.lit(0).cast("long"))).join(starts, ["ordinal", "_bucket"])
-    ordered = ordered.withColumn("_at", F.col("_start") + F.col("_before"))
+    # The blocks join last, lest every row carries its source's through the shuffle.
+    ordered = ordered.withColumn("_at", F.col("_start") + F.col("_before")).join(drawn, "ordinal", "left")
 
     def taken_in(k: int) -> Column:
         first, last = F.col("_at") + k * F.col("source_size"), F.col("_at") + k * F.col("source_size") + F.col("size")
