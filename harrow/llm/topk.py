@@ -67,7 +67,7 @@ def collected(q_ids, q, cutoff, c_ids, c, k: int, lists: int) -> tuple[np.ndarra
     parts = partials(q, c, lists)
     enough = np.zeros((len(q_ids), len(c_ids)), bool)
     for p in parts:
-        enough |= p >= -(-cutoff // len(parts))[:, None]  # whole numbers: the threshold rounded up
+        enough |= p >= ((cutoff + len(parts) - 1) // len(parts))[:, None]  # whole numbers: the threshold rounded up
     i, j = np.nonzero(enough & (q_ids[:, None] != c_ids[None, :]))
     score = sum(p[i, j] for p in parts)
     keep = score >= cutoff[i]
