@@ -12,7 +12,7 @@ none makes a large task.  The number of cells is bounded by the projections' ran
 small and is broadcast, after a check.  Tasks send on only their k best for each query.
 
 Defined results: vectors that are null, zero, of another length than most, or with null or non-finite components take no
-part; of rows with equal ids the smallest vector counts; ties go to the smaller id; an empty table gives an empty result.
+part; a query that finds fewer than k is answered from all vectors, exactly; of rows with equal ids the smallest vector counts; ties go to the smaller id; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -130,4 +130,13 @@ def nearest(queries: DataFrame, vectors: DataFrame, *, key: str = "vec_id", vect
     def of_pair(row: dict) -> tuple:
         return exact_best(*unpack(row["q"], dims), *unpack(row["v"], dims), k)
 
-    return ranked(best_hits(pairs, of_pair, "double", k), k)
+    found = checkpoint(ranked(best_hits(pairs, of_pair, "double", k), k))
+    # Queries that visited too few vectors, as where there are hardly more than k, go by all of them, block by block.
+    enough = found.groupBy(F.col("query_id").alias("id")).count().where(F.col("count") >= k)
+    short = checkpoint(q.join(enough, "id", "left_anti"))
+    if short.isEmpty():
+        return found
+    v_blocks, q_blocks = (max(1, -(-rows.count() // BLOCK_ROWS)) for rows in (v, short))
+    all_of = lambda rows, own, n, other, m, name: pack(rows.withColumn(own, F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")), own, name=name).withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(m - 1))))
+    rest = all_of(v, "v_at", v_blocks, "q_at", q_blocks, "v").join(all_of(short, "q_at", q_blocks, "v_at", v_blocks, "q"), ["v_at", "q_at"]).select("q", "v")
+    return found.join(short.select(F.col("id").alias("query_id")), "query_id", "left_anti").unionByName(ranked(best_hits(rest, of_pair, "double", k), k))
