@@ -5,18 +5,21 @@ All windows run by symbol; a symbol's series is one row a day, so a task holds s
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from harrow.functions import market
 from harrow.functions.parsing import clean_number, number
 
 DAYS = {"1M": 31, "3M": 93, "6M": 186, "1Y": 366}
-BY_DATE = Window.partitionBy("symbol").orderBy("date")
 #: Sums of decimals don't depend on their order.
 EXACT = "decimal(18,2)"
 
 
+def by_date() -> WindowSpec:
+    return Window.partitionBy("symbol").orderBy("date")
+
+
 def vendor_rows(rows: DataFrame, name: str, close: str, symbol: str = "", prefix: str = "KAU") -> DataFrame:
     """Vendor rows of the product family with a positive close; of one symbol, in any case, if given."""
     n = F.upper(F.trim(F.coalesce(F.col(name), F.lit(""))))
@@ -34,7 +37,7 @@ def daily_change(quotes: DataFrame, *, vendor_first: bool) -> DataFrame:
     ``vendor_first``: the vendor's figures count where they are given.  Else the previous close's do, and without one the
     vendor's change takes the sign of its rate.
     """
-    prior = F.lag("close").over(BY_DATE)
+    prior = F.lag("close").over(by_date())
     rate = (F.col("close") / F.nullif(prior, F.lit(0.0)) - 1) * 100
     vendor, vendor_rate = F.col("vendor_change"), F.col("vendor_rate")
     if vendor_first:
@@ -48,7 +51,7 @@ def daily_change(quotes: DataFrame, *, vendor_first: bool) -> DataFrame:
 
 def market_pulse(quotes: DataFrame) -> DataFrame:
     """Trailing-20-row figures of each row: price position, distance to the mean, volume ratio and rank, supply labels."""
-    recent, before = BY_DATE.rowsBetween(-19, 0), BY_DATE.rowsBetween(-20, -1)
+    recent, before = by_date().rowsBetween(-19, 0), by_date().rowsBetween(-20, -1)
     mean = lambda c, w: F.sum(F.col(c).cast(EXACT)).over(w).cast("double") / F.count(c).over(w)
     windows = quotes.withColumns({
         "samples": F.count("*").over(recent).cast("int"),
@@ -122,7 +125,7 @@ def first_day_with_rows(quotes: DataFrame, day: str, back: int = 15) -> DataFram
 def date_axis(quotes: DataFrame, dates: DataFrame) -> DataFrame:
     """Each (symbol, day) of ``dates`` with its place on the symbol's axis of trading days, interpolated between them;
     days outside are put at the ends.  A day meets one pair of neighbours: it is placed by a union and two windows."""
-    axis = quotes.select("symbol", F.col("date").alias("day"), (F.row_number().over(BY_DATE) - 1).cast("double").alias("place"))
+    axis = quotes.select("symbol", F.col("date").alias("day"), (F.row_number().over(by_date()) - 1).cast("double").alias("place"))
     both = axis.withColumn("_asked", F.lit(False)).unionByName(dates.select("symbol", "day").withColumns({"place": F.lit(None).cast("double"), "_asked": F.lit(True)}))
     at = F.when(F.col("place").isNotNull(), F.struct("day", "place"))
     up = Window.partitionBy("symbol").orderBy("day", F.col("_asked")).rowsBetween(Window.unboundedPreceding, 0)
