@@ -143,3 +143,20 @@ def semi_monthly_ticks(spans: DataFrame, start: Column, end: Column) -> DataFram
     ticks = spans.select("*", start.alias("_start"), end.alias("_end"), F.explode(months).alias("_month")).select("*", F.explode(F.array("_month", F.date_add("_month", 14))).alias("tick"))
     label = F.concat(F.month("tick").cast("string"), F.lit("."), F.dayofmonth("tick").cast("string"))
     return ticks.where(F.col("tick").between(F.col("_start"), F.col("_end"))).withColumn("label", label).drop("_start", "_end", "_month")
+
+
+def year_slices(spans: DataFrame, start: Column, end: Column) -> DataFrame:
+    """The spans cut at the turns of years: slice_start and slice_end of each year's part."""
+    years = spans.select("*", start.alias("_start"), end.alias("_end"), F.explode(F.sequence(F.year(start), F.year(end))).alias("year"))
+    cut = {"slice_start": F.greatest(F.col("_start"), F.make_date("year", F.lit(1), F.lit(1))), "slice_end": F.least(F.col("_end"), F.make_date("year", F.lit(12), F.lit(31)))}
+    return years.withColumns(cut).drop("_start", "_end")
+
+
+def chart_scale(quotes: DataFrame, *, least_top: float = 30000.0, most_bottom: float = 20000.0) -> DataFrame:
+    """x by trading day and y by price, in parts of a symbol's chart, whose price range is padded by 16 % or 800."""
+    whole = Window.partitionBy("symbol")
+    ranged = quotes.withColumns({"_hi": F.max("high").over(whole), "_lo": F.min("low").over(whole), "_i": F.row_number().over(by_date()) - 1, "_n": F.count("*").over(whole)})
+    pad = F.greatest((F.col("_hi") - F.col("_lo")) * 0.16, F.lit(800.0))
+    top, bottom = F.greatest(F.lit(least_top), F.col("_hi") + pad), F.least(F.lit(most_bottom), F.greatest(F.lit(0.0), F.col("_lo") - pad))
+    placed = ranged.withColumns({"x": F.col("_i") / F.greatest(F.col("_n") - 1, F.lit(1)), "y": (top - F.col("close")) / F.greatest(top - bottom, F.lit(1.0))})
+    return placed.drop("_hi", "_lo", "_i", "_n")

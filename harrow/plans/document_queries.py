@@ -191,6 +191,13 @@ def q_news_representatives(spark, sf_dir):
     return D.representatives(n, D.title_clusters(n)).select("id", F.col("duplicate_count").cast("long").alias("duplicate_count"), F.array_join("duplicate_sources", ",").alias("sources"))
 
 
+@query(clusters_sql(MULTISET_PAIRS) + """, d2 AS (SELECT d.*, c.cluster FROM docs d JOIN c USING (id)) SELECT first(id ORDER BY length(summary) + length(title) DESC, seq) AS id, count(*) AS duplicate_count FROM d2 GROUP BY cluster""")
+def q_page_representatives(spark, sf_dir):
+    """The fullest news of each cluster, as the page chooses them."""
+    n = news(spark, sf_dir)
+    return D.representatives(n, D.title_clusters(n, multiset=True), page_mode=True).select("id", F.col("duplicate_count").cast("long").alias("duplicate_count"))
+
+
 @query()
 def q_news_clusters(spark, sf_dir):
     """Clusters of the exact mode, in feed order with matching blocks; see tests for the brute-force version."""
@@ -249,6 +256,15 @@ def q_policy_insight(spark, sf_dir):
     return D.insight(noted(spark, sf_dir).where("id % 9 > 1"))
 
 
+@query(f"""WITH {P.DOCUMENTS}, {NOTED}, o AS (SELECT * FROM noted WHERE source_type <> 'news' AND id % 9 > 2 ORDER BY published_at DESC, title DESC, id DESC LIMIT 10)
+  SELECT CASE WHEN count(*) = 0 THEN '{D.INSIGHTS['none']}' WHEN bool_or({NEAR}) THEN '{D.PAGE_STABILIZATION}' WHEN bool_or(regexp_matches(title || ' ' || summary, '{D.LOOSE_AUCTION_WORDS}')) THEN '{D.INSIGHTS['auction']}'
+  WHEN bool_or(regexp_matches(title || ' ' || summary, '{D.ALLOCATION_WORDS}')) THEN '{D.INSIGHTS['allocation']}' WHEN bool_or(regexp_matches(title || ' ' || summary, '{D.OFFSET_WORDS}')) THEN '{D.INSIGHTS['offset']}' ELSE '{D.INSIGHTS['other']}' END AS summary,
+  count(*) AS basis_count, max(published_at) AS basis_latest_date FROM o""")
+def q_page_insight(spark, sf_dir):
+    """Sentence on the ten newest official documents, by the page's looser words."""
+    return D.insight(noted(spark, sf_dir).where("id % 9 > 2"), page_mode=True)
+
+
 @query(f"WITH {P.DOCUMENTS} SELECT id, (row_number() OVER (PARTITION BY published_at ORDER BY id) - 1) % 3 AS lane FROM docs WHERE source_type <> 'news' AND published_at BETWEEN '2024-01-05' AND '2024-01-20'")
 def q_event_lanes(spark, sf_dir):
     """Official documents of a range of days, in three lanes a day."""

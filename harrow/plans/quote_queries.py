@@ -223,3 +223,19 @@ def q_number_formats(spark, sf_dir):
     """Prices, values, tons and days as the page shows them."""
     q = P.quotes(spark, sf_dir)
     return q.select("date", "symbol", market.money(F.col("close")).alias("price"), market.amount(F.col("trade_value") * 1000).alias("value"), market.compact_tons(F.col("volume") * 2500).alias("tons"), market.short_date(F.col("date")).alias("day"))
+
+
+@query(f"""WITH {P.QUOTES}, s AS (SELECT symbol, min(date) AS a, max(date) AS b FROM quotes GROUP BY symbol), y AS (SELECT symbol, a, b, unnest(range(year(a), year(b) + 1)) AS year FROM s)
+  SELECT symbol, year::INT AS year, greatest(a, make_date(year, 1, 1)) AS slice_start, least(b, make_date(year, 12, 31)) AS slice_end FROM y""")
+def q_year_slices(spark, sf_dir):
+    """A symbol's span of days cut in years, as a long history is asked for."""
+    spans = P.quotes(spark, sf_dir).groupBy("symbol").agg(F.min("date").alias("a"), F.max("date").alias("b"))
+    return Q.year_slices(spans, F.col("a"), F.col("b")).select("symbol", "year", "slice_start", "slice_end")
+
+
+@query(f"""WITH {P.QUOTES}, {P.rated('quotes')}, r AS (SELECT *, max(high) OVER (PARTITION BY symbol) AS hi, min(low) OVER (PARTITION BY symbol) AS lo, row_number() OVER (PARTITION BY symbol ORDER BY date) - 1 AS i, count(*) OVER (PARTITION BY symbol) AS n FROM rated),
+  e AS (SELECT *, greatest(30000.0, hi + greatest((hi - lo) * 0.16, 800.0)) AS top, least(20000.0, greatest(0.0, lo - greatest((hi - lo) * 0.16, 800.0))) AS bottom FROM r)
+  SELECT date, symbol, i / greatest(n - 1, 1)::DOUBLE AS x, (top - close) / greatest(top - bottom, 1.0) AS y FROM e""")
+def q_chart_scale(spark, sf_dir):
+    """Each row's place in its symbol's chart, from 0 to 1 from the left and from the top."""
+    return Q.chart_scale(P.quotes(spark, sf_dir)).select("date", "symbol", "x", "y")

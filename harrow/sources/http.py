@@ -9,10 +9,14 @@ import datetime as dt
 import importlib
 import json
 import time
+import urllib.error
 import urllib.parse
 import urllib.request
 from collections.abc import Callable, Iterator
 
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, InputPartition
 
 
@@ -30,7 +34,7 @@ def retried(call: Callable[[], str], attempts: int = 3, wait: Callable[[float],
 
 def get(url: str, params: dict[str, str], timeout: float) -> str:
     """A GET request's text; '' where the server has nothing (400, 404)."""
-    request = urllib.request.Request(f"{url}?{urllib.parse.urlencode(params)}", headers={"Accept": "application/json, application/xml"})
+    request = urllib.request.Request(f"{url}?{urllib.parse.urlencode(params)}" if params else url, headers={"Accept": "application/json, application/xml, text/html"})
     try:
         with urllib.request.urlopen(request, timeout=timeout) as response:
             return response.read().decode(response.headers.get_content_charset() or "utf-8", errors="replace")
@@ -69,6 +73,28 @@ def host_variants(url: str) -> list[str]:
     return [url, urllib.parse.urlunsplit(parts._replace(netloc=other))]
 
 
+def with_pages(docs: DataFrame, url: str, page: str, *, fetch: str = "harrow.sources.http:get", most_bytes: int = 2_000_000, timeout: float = 6.0) -> DataFrame:
+    """Documents with the pages behind their urls, '' where none can be had.  Call it with the rows that need it alone:
+    each is a request, and requests are made again when a task is."""
+
+    @F.pandas_udf("string")
+    def pages(urls: pd.Series) -> pd.Series:
+        module, _, name = fetch.partition(":")
+        call = getattr(importlib.import_module(module), name)
+
+        def one(u: str | None) -> str:
+            if not (u or "").lower().startswith(("http://", "https://")):
+                return ""
+            try:
+                return call(u, {}, timeout)[:most_bytes]
+            except OSError:
+                return ""
+
+        return urls.map(one)
+
+    return docs.withColumn(page, pages(F.col(url)))
+
+
 class DayPartition(InputPartition):
     def __init__(self, day: str):
         super().__init__(day)

@@ -84,6 +84,26 @@ def test_api_source_pushes_the_symbol(spark, monkeypatch):
         spark.conf.unset("spark.sql.python.filterPushdown.enabled")
 
 
+def fetch_page(url, params, timeout):
+    if "down" in url:
+        raise OSError
+    return f"page of {url}"
+
+
+def test_pages_are_fetched(spark):
+    docs = spark.createDataFrame([(1, "https://a/b"), (2, "ftp://x"), (3, None), (4, "http://down")], "id int, url string")
+    out = http.with_pages(docs, "url", "page", fetch="test_sources:fetch_page")
+    assert [r["page"] for r in out.orderBy("id").collect()] == ["page of https://a/b", "", "", ""]
+
+
+def test_vendor_quotes(spark):
+    from harrow import schemas
+
+    rows = spark.createDataFrame([(" KAU25 ", "29,500", "▼50", "0.2", "", None, "1", "2", "", "77")], "isu_cd string, tdd_clsprc string, cmpprevdd_prc string, fluc_rt string, tdd_opnprc string, tdd_hgprc string, tdd_lwprc string, acc_trdvol string, acc_trdval string, fluc_tp_cd string")
+    r = readers.vendor_quotes(rows, "2026-08-19", schemas.SITE).first()
+    assert (r["symbol"], r["close"], r["vendor_change"], r["open"], r["high"], r["trade_value"]) == ("KAU25", 29500.0, -50.0, None, None, 77.0)
+
+
 def test_requests_are_retried_and_checked():
     waits, calls = [], iter([OSError(), OSError(), "ok"])
 
