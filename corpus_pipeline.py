@@ -1,24 +1,32 @@
 """A training-data pipeline over ``documents``: quality, near duplicates, repeated passages, mixture, token ids.
 
 Each stage takes (spark, docs, sf_dir) and works on all rows that its predecessor kept; all but the last return the
-columns of ``documents``, with n_chars kept true to the text.  Rows are never capped or sampled.  An empty table stays
+columns of ``documents``, with n_chars kept true to the text.  A stage first deletes what earlier ones left in the shared
+folder, so its predecessor's rows must be written and read back, as run() does.  Rows are never capped or sampled.  An empty table stays
 empty through every stage; null texts count as empty, are kept by the filters that find nothing against them, and leave
 in the mixture, which takes no words from them.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harrow.llm import jaccard_join, mixing, quality, sentencepieces, substring_dedup
-from harrow.llm.common import small_batches, stored, table
+from harrow.llm.common import among, checkpoint, delete, drop_scratch, shared_folder, small_batches, stored, table
 from harrow.llm.queries import tokenizer_path
 
 #: The SQL for run()'s rows: none, as training, joins by similarity and tokenization are beyond it.
 ORACLE_SQL = None
 
 
+def begin(spark: SparkSession) -> None:
+    drop_scratch(spark)
+    small_batches(spark)
+
+
 def with_text(docs: DataFrame, text, columns: list[str]) -> DataFrame:
     """The documents' columns with another text and its length."""
     return docs.withColumn("text", text).withColumn("n_chars", F.coalesce(F.char_length("text"), F.lit(0)).cast("long")).select(*columns)
@@ -26,27 +34,31 @@ def with_text(docs: DataFrame, text, columns: list[str]) -> DataFrame:
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier, trained on the labels that aren't held out, doesn't reject."""
-    small_batches(spark)
+    begin(spark)
     model = quality.fit(docs, table(spark, sf_dir, "labels").where(~quality.held_out(F.col("doc_id"))))
     return quality.score_documents(docs, model).where("predicted = 1").select(*docs.columns)
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates the document of the smallest id."""
-    small_batches(spark)
-    first = jaccard_join.near_duplicates(docs).where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    return docs.join(first, "doc_id", "left_semi").select(*docs.columns)
+    begin(spark)
+    later = checkpoint(jaccard_join.near_duplicates(docs).where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct())
+    maybe, kept = among(docs, later, ["doc_id"])
+    return kept.unionByName(maybe.join(later, "doc_id", "left_anti")).select(*docs.columns)
 
 
 def without_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the words of passages that occur elsewhere."""
-    small_batches(spark)
-    changed = substring_dedup.without_repeats(docs).select(F.col("id").alias("doc_id"), "h", "kept")
-    return with_text(docs.withColumn("h", F.xxhash64("text")).join(changed, ["doc_id", "h"], "left"), F.coalesce("kept", "text"), docs.columns)
+    begin(spark)
+    changed = stored(substring_dedup.without_repeats(docs).select(F.col("id").alias("doc_id"), "h", "kept"), "kept")
+    maybe, whole = among(docs.withColumn("h", F.xxhash64("text")), changed, ["doc_id", "h"])
+    cut = with_text(maybe.join(changed, ["doc_id", "h"], "left"), F.coalesce("kept", "text"), docs.columns)
+    return cut.unionByName(with_text(whole, F.col("text"), docs.columns))
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix: a row for each time that a document is taken, cut where only its first words are."""
+    begin(spark)
     sized = mixing.with_size(docs)
     sources = mixing.mix_sources(sized)
     mixed = mixing.mix_documents(sized, sources, mixing.shard_blocks(sources)).where("taken > 0")
@@ -58,7 +70,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each row, with digests of the ids and of what they decode to."""
-    small_batches(spark)
+    begin(spark)
     coded = sentencepieces.encode_decode(docs.select("doc_id", "text"), tokenizer_path("piece_bpe_32k.model"))
     digest = lambda text: F.sha2(text.cast("binary"), 256)
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), digest(F.array_join(F.col("ids").cast("array<string>"), " ")).alias("ids_sha256"), digest(F.col("decoded")).alias("decoded_sha256"), "ids")
@@ -75,7 +87,11 @@ STAGES = [
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last stage's rows over ``documents``; each earlier stage's are written to the shared folder."""
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        path = f"{shared_folder(spark).rstrip('/')}/{name.replace(' ', '-')}-{uuid.uuid4().hex}"
+        stage(spark, docs, sf_dir).write.parquet(path)
+        if before:
+            delete(spark, before)
+        docs, before = spark.read.parquet(path), path
     return STAGES[-1][1](spark, docs, sf_dir)

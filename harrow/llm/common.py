@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,8 +31,25 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Tables of this driver in the shared folder that frames may still read.
+_SCRATCH: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _SCRATCH.append(f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}")
+    return _SCRATCH[-1]
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Deletes the tables that operators have left in the shared folder.  Frames made of them can't be read any more, so
+    what they hold must have been written."""
+    while _SCRATCH:
+        delete(spark, _SCRATCH.pop())
 
 
 def small_batches(spark: SparkSession, rows: int = 500) -> None:
@@ -45,3 +63,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def among(rows: DataFrame, keys: DataFrame, columns: list[str], *, bits: int = 1 << 26) -> tuple[DataFrame, DataFrame]:
+    """The rows whose ``columns`` may be among the keys, and those that are surely not.
+
+    A bit is set for each key's hash; 8 MB of bits at most go to all tasks, whatever the number of keys.  A join with the
+    keys then has to shuffle little more than the rows that it keeps.
+    """
+    place = lambda: F.pmod(F.xxhash64(*columns), F.lit(bits))
+    bitmaps = checkpoint(keys.select(place().alias("p")).groupBy((F.expr("p div 32768")).alias("_part")).agg(F.bitmap_construct_agg(F.col("p") % 32768).alias("_bits")))
+    part, bit = F.expr("_place div 32768"), F.col("_place") % 32768
+    looked = rows.withColumn("_place", place()).withColumn("_at", part).join(F.broadcast(bitmaps), F.col("_at") == F.col("_part"), "left")
+    byte = F.conv(F.hex(F.substring("_bits", (F.floor(bit / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    marked: Column = F.coalesce(F.getbit(byte, (bit % 8).cast("int")) == 1, F.lit(False))
+    flagged = looked.withColumn("_maybe", marked).drop("_place", "_at", "_part", "_bits")
+    return flagged.where("_maybe").drop("_maybe"), flagged.where("not _maybe").drop("_maybe")

@@ -39,7 +39,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from harrow.llm.common import checkpoint, stored
+from harrow.llm.common import among, checkpoint, stored
 from harrow.llm.components import components
 from harrow.llm.memo import Memo
 
@@ -279,7 +279,7 @@ def block_links(ids_a: list[int], sets_a: list[np.ndarray], ids_b: list[int], se
     return out
 
 
-def hot_links(classes: DataFrame, block_rows: int = 512) -> DataFrame:
+def hot_links(classes: DataFrame, block_rows: int = 2048) -> DataFrame:
     """a, b: spanning links among the classes of mostly common shingles, block against block."""
     hot = checkpoint(classes.where("hot").select("id", "words"))
     blocks = max(1, -(-hot.count() // block_rows))
@@ -298,15 +298,15 @@ def hot_links(classes: DataFrame, block_rows: int = 512) -> DataFrame:
     return left.join(right, ["x", "y"]).select("left", "right").mapInArrow(compare, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text", common_over: int = 32, most_common: int = 1_000_000) -> DataFrame:
+def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text", common_over: int = 12, most_common: int = 1_000_000) -> DataFrame:
     """A row per document: the key, n_shingles and component_id (smallest key reachable by links, its own included)."""
     common = common_shingles(docs, text, common_over, most_common)
     rows = stored(prepared(docs, key, text, common), "shingles")
     members = rows.where("n > 0").groupBy("d1", "d2").agg(F.min("id").alias("class"))
     pairs = checkpoint(candidates(shared_counts(rows)))
     wanted = pairs.select(F.col("a").alias("d1")).union(pairs.select("b")).distinct()
-    kept = rows.where("words is not null")
-    chosen = kept.join(wanted.withColumn("_w", F.lit(True)), "d1", "left").where(F.col("_w") | F.col("hot"))
+    kept = rows.where("words is not null").select("d1", "d2", "words", "hot")
+    chosen = among(kept.where("not hot"), wanted, ["d1"])[0].join(wanted, "d1", "left_semi").unionByName(kept.where("hot"))
     classes = checkpoint(chosen.groupBy("d1", "d2").agg(F.first("words").alias("words"), F.first("hot").alias("hot")).join(members, ["d1", "d2"]).select("d1", F.col("class").alias("id"), "words", "hot"))
     found = components(verified(pairs, classes).union(hot_links(classes)))
     whole = rows.select("id", "d1", "d2", "n").join(members, ["d1", "d2"], "left")

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from harrow.llm.common import stored
+from harrow.llm.common import among, stored
 from harrow.llm.memo import Memo
 from harrow.llm.suffix_automaton import SuffixAutomaton, spans
 
@@ -139,8 +139,8 @@ STRETCHES = "id long, h long, anchor long, start int, d1 long, d2 long, n int, w
 
 
 def stretches_of(docs: DataFrame, window: int) -> DataFrame:
-    """STRETCHES' columns of the runs (structs of anchor, start, windows) of each document; ``words``, the hashes, is null
-    where the task has had the same stretch before."""
+    """STRETCHES' columns of the runs (structs of anchor, start, windows) of each document; ``words``, joined by a space, is
+    null where the task has had the same stretch before."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
@@ -148,9 +148,10 @@ def stretches_of(docs: DataFrame, window: int) -> DataFrame:
         for batch in batches:
             out: list[tuple] = []
             for i, k, t, runs in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                h = hashes_of(words_of(t))
+                words = words_of(t)
                 for r in runs:
-                    raw = h[r["start"] : r["start"] + r["windows"] + window - 1].tobytes()
+                    n = r["windows"] + window - 1
+                    raw = b" ".join(words[r["start"] : r["start"] + n])
                     digest = xxhash.xxh3_128_digest(raw)
                     d1, d2 = np.frombuffer(digest, np.int64)
                     fresh = digest not in seen
@@ -158,7 +159,7 @@ def stretches_of(docs: DataFrame, window: int) -> DataFrame:
                         if len(seen) > 500_000:
                             seen.clear()
                         seen.add(digest)
-                    out.append((i, k, r["anchor"], r["start"], int(d1), int(d2), len(raw) // 8, raw if fresh else None))
+                    out.append((i, k, r["anchor"], r["start"], int(d1), int(d2), n, raw if fresh else None))
                 if len(out) > 20_000:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names=[c.split()[0] for c in STRETCHES.split(", ")])
                     out = []
@@ -170,10 +171,10 @@ def stretches_of(docs: DataFrame, window: int) -> DataFrame:
 
 def repeated_spans(stretches: DataFrame, window: int, shard_rows: int) -> DataFrame:
     """d1, d2, spans (begin, end): what is repeated of each distinct stretch, by the automata of its anchor's shards."""
-    distinct = stored(stretches.groupBy("anchor", "d1", "d2").agg(F.count("*").alias("times"), F.first("words", ignorenulls=True).alias("words")), "stretches")
+    distinct = stored(stretches.groupBy("anchor", "d1", "d2").agg(F.count("*").alias("times"), F.first("n").alias("n"), F.first("words", ignorenulls=True).alias("words")), "stretches")
     sizes = distinct.groupBy("anchor").agg(F.count("*").alias("kinds"), F.sum("times").alias("rows")).where("kinds > 1 or rows = 1").withColumn("shards", F.ceil(F.col("kinds") / shard_rows).cast("int"))
     # Where all of an anchor's stretches are equal and there are several, they are repeated as a whole.
-    alone = distinct.join(sizes, "anchor", "left_anti").select("d1", "d2", F.array(F.struct(F.lit(0).alias("begin"), F.expr("int(length(words) div 8)").alias("end"))).alias("spans"))
+    alone = distinct.join(sizes, "anchor", "left_anti").select("d1", "d2", F.array(F.struct(F.lit(0).alias("begin"), F.col("n").alias("end"))).alias("spans"))
     home = F.pmod(F.col("d1"), F.col("shards")).cast("int")
     several = distinct.join(sizes.select("anchor", "shards"), "anchor").withColumn("home", home)
     # Where there is one shard, a row is reference and stream at once; else the reference comes first.
@@ -201,7 +202,7 @@ def repeated_spans(stretches: DataFrame, window: int, shard_rows: int) -> DataFr
 
         for batch in batches:
             for anchor, shard, part, d1, d2, home, times, words in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                row = (anchor, shard, part, d1, d2, np.frombuffer(words, np.int64).tolist(), times, home)
+                row = (anchor, shard, part, d1, d2, hashes_of(words.split()).tolist(), times, home)
                 if (anchor, shard) != key:
                     finish()
                     key, held, automata = (anchor, shard), [], None
@@ -230,8 +231,9 @@ def without_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     keyed = docs.select(F.col(key).cast("long").alias("id"), F.xxhash64(F.col(text)).alias("h"), F.col(text).alias("text"))
     runs = stored(runs_of(keyed, common, window), "runs")
     repeated = runs.groupBy("anchor").agg(F.sum("times").alias("times")).where("times > 1").select("anchor")
-    of_docs = runs.join(repeated, "anchor").groupBy("id", "h").agg(F.collect_set(F.struct("anchor", F.col("start").cast("int").alias("start"), F.col("windows").cast("int").alias("windows"))).alias("runs"))
-    touched = stored(keyed.join(of_docs, ["id", "h"]), "touched")
+    of_docs = runs.drop("times").join(repeated, "anchor").groupBy("id", "h").agg(F.collect_set(F.struct("anchor", F.col("start").cast("int").alias("start"), F.col("windows").cast("int").alias("windows"))).alias("runs"))
+    of_docs = stored(of_docs, "runs-of-docs")
+    touched = stored(among(keyed, of_docs, ["id", "h"])[0].join(of_docs, ["id", "h"]), "touched")
     stretches = stored(stretches_of(touched, window), "cuts")
     found = repeated_spans(stretches, window, shard_rows)
     placed = stretches.select("id", "h", "start", "d1", "d2").join(found, ["d1", "d2"]).select("id", "h", F.transform("spans", lambda s: F.struct((s["begin"] + F.col("start")).alias("begin"), (s["end"] + F.col("start")).alias("end"))).alias("spans"))

@@ -1,10 +1,14 @@
 """The pipeline's stages, each on the rows of the one before."""
 
 from conftest import DATA
-from harrow.llm.common import stored
 
 
-def test_stages(spark):
+def written(spark, df, path):
+    df.write.parquet(str(path))
+    return spark.read.parquet(str(path))
+
+
+def test_stages(spark, tmp_path):
     import corpus_pipeline as P
 
     sf = f"{DATA}/sf0.001"
@@ -13,7 +17,7 @@ def test_stages(spark):
     labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
     sizes = [before]
     for name, stage in P.STAGES:
-        out = stored(stage(spark, docs, sf), "test")
+        out = written(spark, stage(spark, docs, sf), tmp_path / name)
         sizes.append(out.count())
         if name != P.STAGES[-1][0]:
             assert out.columns == columns
@@ -26,11 +30,11 @@ def test_stages(spark):
     assert {"doc_id", "n_tokens", "ids_sha256", "decoded_sha256"} <= set(docs.columns)
 
 
-def test_stages_on_no_rows(spark):
+def test_stages_on_no_rows(spark, tmp_path):
     import corpus_pipeline as P
 
     sf = f"{DATA}/sf0.001"
     docs = spark.read.parquet(f"{sf}/documents.parquet").limit(0)
-    for _, stage in P.STAGES:
-        docs = stored(stage(spark, docs, sf), "test")
+    for name, stage in P.STAGES:
+        docs = written(spark, stage(spark, docs, sf), tmp_path / name)
         assert docs.count() == 0
