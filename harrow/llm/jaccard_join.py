@@ -152,10 +152,12 @@ def prepared(docs: DataFrame, key: str, text: str, common: np.ndarray) -> DataFr
 
 def shared_counts(rows: DataFrame) -> DataFrame:
     """a, b (d1 of two classes) and how many prefix shingles they share, with both sizes, from the prepared rows."""
-    tokens = rows.where("prefix is not null").select(F.explode("prefix").alias("h"), "d1", "n", "hot", "last")
+    # A shingle carries its set's facts in one number: where the prefix ends (the hash's first 16 bits; ties are safe), size, hot.
+    facts = F.shiftleft(F.shiftright("last", 47), 32).bitwiseOR(F.shiftleft(F.col("n").cast("long"), 1)).bitwiseOR(F.col("hot").cast("long"))
+    tokens = rows.where("prefix is not null").select(F.explode("prefix").alias("h"), "d1", facts.alias("facts"))
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ("d1", "n", "hot", "last")
+        names = ("d1", "facts")
         held: list[np.ndarray] = []
         size = 0
 
@@ -182,10 +184,11 @@ def shared_counts(rows: DataFrame) -> DataFrame:
             ends = np.repeat(starts + lengths, lengths)
             while len(left := left[left + gap < ends[left]]):  # the pairs that stand so far apart in their runs
                 a, b = left, left + gap
-                na, nb = cols["n"][a].astype(np.int64), cols["n"][b].astype(np.int64)
-                keep = (OF * np.minimum(na, nb) >= ENOUGH * np.maximum(na, nb)) & ~(cols["hot"][a] & cols["hot"][b])
+                fa, fb = cols["facts"][a], cols["facts"][b]
+                na, nb = fa >> 1 & 0x7FFFFFFF, fb >> 1 & 0x7FFFFFFF
+                keep = (OF * np.minimum(na, nb) >= ENOUGH * np.maximum(na, nb)) & (fa & fb & 1 == 0)
                 a, b, na, nb = a[keep], b[keep], na[keep], nb[keep]
-                la, lb = cols["last"][a], cols["last"][b]
+                la, lb = fa[keep] >> 32, fb[keep] >> 32
                 first_ends = np.where(la < lb, na, np.where(la > lb, nb, np.maximum(na, nb)))  # whose prefix ends first
                 held.append(np.column_stack([cols["d1"][a], cols["d1"][b], np.ones(len(a), np.int64), na + nb, first_ends]))
                 size += len(a)
