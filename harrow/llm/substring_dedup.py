@@ -28,30 +28,39 @@ table gives an empty one; extra columns pass through.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from harrow.llm.common import among, stored
-from harrow.llm.memo import Memo
 from harrow.llm.suffix_automaton import SuffixAutomaton, spans
+from harrow.llm.word_hashes import word_hashes
 
 GRAM, COUNTED = 8, 3_000_000
 MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
 
-_HASHES = Memo(xxhash.xxh3_64_intdigest)
+
+def raw_of(text: str | None) -> bytes:
+    return (text or "").encode("utf-8", "replace")
 
 
 def words_of(text: str | None) -> list[bytes]:
-    return (text or "").encode("utf-8", "replace").split()
+    return raw_of(text).split()
+
 
+def counted_and_digested(text: Column) -> Column:
+    """n_words, and the digest of the words joined by one space, of each text."""
+    @F.arrow_udf("struct<n_words:long,sha256:string>")
+    def facts(texts: pa.Array) -> pa.Array:
+        words = [words_of(t) for t in texts.to_pylist()]
+        return pa.StructArray.from_arrays([pa.array([len(w) for w in words], pa.int64()), pa.array([hashlib.sha256(b" ".join(w)).hexdigest() for w in words], pa.string())], ["n_words", "sha256"])
 
-def hashes_of(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
+    return facts(text)
 
 
 def grams_of(h: np.ndarray) -> np.ndarray:
@@ -74,24 +83,31 @@ def least_of(x: np.ndarray, size: int) -> np.ndarray:
     return out
 
 
-def anchored_runs(h: np.ndarray, common: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def marks(common: np.ndarray) -> np.ndarray:
+    """A bit for the first 24 bits of each of the hashes: most others need no search."""
+    out = np.zeros(1 << 24, bool)
+    out[common >> np.uint64(40)] = True
+    return out
+
+
+def anchored_runs(h: np.ndarray, common: np.ndarray, marked: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """anchor, first window, number of windows, and how often the anchor occurs, of each run of windows with one anchor."""
     if len(h) < window:
         return (np.empty(0, np.int64),) * 4
     g = grams_of(h)
     order = g >> np.uint64(1)
-    if len(common):
-        at = np.minimum(np.searchsorted(common, g), len(common) - 1)
-        order |= (common[at] == g).astype(np.uint64) << np.uint64(63)
+    maybe = np.flatnonzero(marked[g >> np.uint64(40)])
+    if len(maybe):
+        at = np.minimum(np.searchsorted(common, g[maybe]), len(common) - 1)
+        order[maybe] |= (common[at] == g[maybe]).astype(np.uint64) << np.uint64(63)
     least = least_of(order, window - GRAM + 1)
     starts = np.flatnonzero(np.r_[True, least[1:] != least[:-1]])
     lengths = np.diff(np.r_[starts, len(least)])
     anchors = least[starts]
     # A gram may stand in a run more than once only where the run is longer than one of its places allows, or by chance.
-    times = np.ones(len(starts), np.int64)
-    span = window - GRAM + 1
-    for i in range(len(starts)):
-        times[i] = 1 if lengths[i] == 1 else np.count_nonzero(order[starts[i] : starts[i] + lengths[i] + span - 1] == anchors[i])
+    reach = lengths + (window - GRAM)
+    first = np.cumsum(reach) - reach
+    times = np.add.reduceat(order[np.arange(reach.sum()) + np.repeat(starts - first, reach)] == np.repeat(anchors, reach), first, dtype=np.int64)
     return anchors.view(np.int64), starts, lengths, times
 
 
@@ -108,7 +124,7 @@ def common_grams(docs: DataFrame, text: str, over: int, most: int) -> np.ndarray
 
         for batch in batches:
             for t in batch.column(0).to_pylist():
-                held.append(grams_of(hashes_of(words_of(t))))
+                held.append(grams_of(word_hashes(raw_of(t))))
                 size += len(held[-1])
                 if size > COUNTED:
                     yield counted()
@@ -124,10 +140,11 @@ def runs_of(docs: DataFrame, common, window: int) -> DataFrame:
     """id, h, anchor, start, windows, times of each run of each document (id, h, text)."""
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marked = marks(common.value)
         for batch in batches:
             parts: list[list[np.ndarray]] = []
             for i, k, t in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                found = anchored_runs(hashes_of(words_of(t)), common.value, window)
+                found = anchored_runs(word_hashes(raw_of(t)), common.value, marked, window)
                 parts.append([np.full(len(found[0]), i, np.int64), np.full(len(found[0]), k, np.int64), *found])
             names = ("id", "h", "anchor", "start", "windows", "times")
             yield pa.RecordBatch.from_pydict({c: pa.array(np.concatenate([np.empty(0, np.int64), *(p[j] for p in parts)]).astype(np.int64)) for j, c in enumerate(names)})
@@ -202,7 +219,7 @@ def repeated_spans(stretches: DataFrame, window: int, shard_rows: int) -> DataFr
 
         for batch in batches:
             for anchor, shard, part, d1, d2, home, times, words in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                row = (anchor, shard, part, d1, d2, hashes_of(words.split()).tolist(), times, home)
+                row = (anchor, shard, part, d1, d2, word_hashes(words).tolist(), times, home)
                 if (anchor, shard) != key:
                     finish()
                     key, held, automata = (anchor, shard), [], None
