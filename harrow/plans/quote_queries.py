@@ -189,9 +189,11 @@ def q_prev_close_asof(spark, sf_dir):
     """The last close of the symbol before each shipping day."""
     from harrow.operators.relational import asof_backward
 
-    line = P.table(spark, sf_dir, "lineitem").where("l_orderkey % 16 = 0").join(P.table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    line = P.table(spark, sf_dir, "lineitem").join(P.table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
     left = line.select(F.to_date("l_shipdate").alias("date"), F.col("o_orderpriority").alias("symbol"), "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-    return asof_backward(left, P.quotes(spark, sf_dir), by="symbol", on="date", value="close", name="previous_close", strict=True)
+    # A symbol is one task of the as-of join: it gets each of its days once, and the line items meet those by equality.
+    days = asof_backward(left.select("symbol", "date").distinct(), P.quotes(spark, sf_dir), by="symbol", on="date", value="close", name="previous_close", strict=True)
+    return left.join(days, ["symbol", "date"], "left").select(*left.columns, "previous_close")
 
 
 @query(f"""WITH {P.SHORT_QUOTES}, s AS (SELECT symbol, min(date) AS a, max(date) AS b FROM short_quotes GROUP BY symbol),
@@ -211,8 +213,7 @@ def q_semi_monthly_ticks(spark, sf_dir):
 def q_date_axis(spark, sf_dir):
     """Days placed on each symbol's axis of trading days by interpolation."""
     q = P.quotes(spark, sf_dir)
-    days = q.where(F.dayofmonth("date") == 11).select("symbol", F.date_add("date", 3).alias("day")).distinct()
-    return Q.date_axis(q.where(F.month("date") == 5), days)
+    return Q.date_axis(q, q.select("symbol", F.date_add("date", 3).alias("day")).distinct())
 
 
 @query(f"""WITH {P.QUOTES} SELECT date, symbol, format('{{:,}}', floor(close + 0.5)::BIGINT) AS price,
