@@ -116,10 +116,8 @@ def read_briefings(spark: SparkSession, path: str) -> DataFrame:
 def keywords_of(lines: DataFrame) -> DataFrame:
     """keyword, seq: distinct keywords of text lines (value, seq), in order; # starts a comment line."""
     line = F.trim(F.replace("value", F.lit("﻿"), F.lit("")))
-    words = lines.select("seq", F.posexplode(F.split(line, r"[,;\t]")).alias("pos", "word")).select(F.trim("word").alias("keyword"), F.struct("seq", "pos").alias("at"))
-    kept = lines.select("seq").where((line != "") & ~line.startswith("#"))
-    found = words.join(kept.select(F.col("seq").alias("s")), F.col("at.seq") == F.col("s"), "left_semi").where("keyword != ''")
-    return found.groupBy("keyword").agg(F.min("at").alias("at")).select("keyword", (F.col("at.seq") * 10000 + F.col("at.pos")).alias("seq"))
+    words = lines.where((line != "") & ~line.startswith("#")).select("seq", F.posexplode(F.split(line, r"[,;\t]")).alias("pos", "word")).select(F.trim("word").alias("keyword"), F.struct("seq", "pos").alias("at"))
+    return words.where("keyword != ''").groupBy("keyword").agg(F.min("at").alias("at")).select("keyword", (F.col("at.seq") * 10000 + F.col("at.pos")).alias("seq"))
 
 
 def read_keywords(spark: SparkSession, path: str) -> list[str]:

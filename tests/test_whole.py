@@ -11,6 +11,8 @@ SMALL = f"{DATA}/sf0.001"
 CUTS = {
     "q_prev_close_asof": {" WHERE l_orderkey % 16 = 0": ""},
     "q_date_axis": {" WHERE month(date) = 5": "", " WHERE day(date) = 11": ""},
+    "q_rss_items": {" WHERE id % 5 = 0": ""},
+    "q_keyword_lines": {"left(text, 40)": "text", " WHERE conv_id < 20": ""},
 }
 
 
@@ -24,3 +26,10 @@ def whole_sql(name):
 @pytest.mark.parametrize("name", sorted(CUTS))
 def test_query_equals_whole_sql(spark, name):
     assert compare.of_spark(QUERIES[name](spark, SMALL)) == compare.of_sql(compare.connect(SMALL), whole_sql(name))
+
+
+def test_keywords_of_comment_lines_that_share_a_number(spark):
+    from harrow.sources.readers import keywords_of
+
+    lines = spark.createDataFrame([("a, b", 1), ("# c, d", 1), (None, 2)], "value string, seq long")
+    assert {r["keyword"] for r in keywords_of(lines).collect()} == {"a", "b"}
