@@ -25,7 +25,7 @@ k AS (SELECT id, trusted, title, text, left(summary, 60) AS summary, CASE WHEN t
 
 
 def matched(spark, sf_dir):
-    docs = P.documents(spark, sf_dir).withColumns({"summary": F.substring("summary", 1, 60), "trusted": F.col("id") % 11 == 0, "matched_keywords": F.array().cast("array<string>"), "category": F.lit("-")})
+    docs = P.documents(spark, sf_dir).withColumns({"trusted": F.col("id") % 11 == 0, "matched_keywords": F.array().cast("array<string>"), "category": F.lit("-")})
     return D.match_keywords(docs, P.KEYWORDS, body="text")
 
 
@@ -55,7 +55,7 @@ def q_keyword_merge(spark, sf_dir):
 def q_retention(spark, sf_dir):
     """Stored documents that today's keywords still allow."""
     mk = F.when(F.col("id") % 4 == 0, F.array(F.lit("THE"), F.lit("los"))).otherwise(F.array().cast("array<string>"))
-    docs = P.documents(spark, sf_dir).withColumns({"summary": F.substring("summary", 1, 40), "trusted": F.col("id") % 17 == 0, "matched_keywords": mk})
+    docs = P.documents(spark, sf_dir).withColumns({"trusted": F.col("id") % 17 == 0, "matched_keywords": mk})
     return D.retained(docs, P.KEYWORDS, P.NEWS_KEYWORDS).select("id")
 
 
@@ -235,7 +235,7 @@ NOTED = f"noted AS (SELECT * REPLACE (left(summary, 50) || CASE id % 9 WHEN 0 TH
 def noted(spark, sf_dir):
     i = F.col("id") % 9
     extra = F.when(i == 0, " 예비분 추가  공급").when(i == 1, " 매각 공고 K-MSR").when(i == 2, " 시장안정 검토").when(i == 3, " 할당").otherwise("")
-    return P.documents(spark, sf_dir).withColumn("summary", F.concat(F.substring("summary", 1, 50), extra))
+    return P.documents(spark, sf_dir).withColumn("summary", F.concat("summary", extra))
 
 
 NEAR = f"regexp_matches(regexp_replace(title || ' ' || summary, '\\s+', ' ', 'g'), '(?i)(?:{D.MECHANISM}).{{0,100}}(?:{D.ACTIVATION})|(?:{D.ACTIVATION}).{{0,100}}(?:{D.MECHANISM})')"
@@ -253,7 +253,7 @@ def q_stabilization_flag(spark, sf_dir):
   count(*) AS basis_count, max(published_at) AS basis_latest_date FROM o""")
 def q_policy_insight(spark, sf_dir):
     """Sentence on the ten newest official documents."""
-    return D.insight(noted(spark, sf_dir).where("id % 9 > 1"))
+    return D.insight(noted(spark, sf_dir))
 
 
 @query(f"""WITH {P.DOCUMENTS}, {NOTED}, o AS (SELECT * FROM noted WHERE source_type <> 'news' AND id % 9 > 2 ORDER BY published_at DESC, title DESC, id DESC LIMIT 10)
@@ -262,7 +262,7 @@ def q_policy_insight(spark, sf_dir):
   count(*) AS basis_count, max(published_at) AS basis_latest_date FROM o""")
 def q_page_insight(spark, sf_dir):
     """Sentence on the ten newest official documents, by the page's looser words."""
-    return D.insight(noted(spark, sf_dir).where("id % 9 > 2"), page_mode=True)
+    return D.insight(noted(spark, sf_dir), page_mode=True)
 
 
 @query(f"WITH {P.DOCUMENTS} SELECT id, (row_number() OVER (PARTITION BY published_at ORDER BY id) - 1) % 3 AS lane FROM docs WHERE source_type <> 'news' AND published_at BETWEEN '2024-01-05' AND '2024-01-20'")
@@ -316,7 +316,7 @@ def q_briefing_split(spark, sf_dir):
 @query("SELECT page_id, replace(replace(replace(replace(replace(left(html, 400), '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;'), chr(39), '&#39;') AS text FROM pages")
 def q_escape_html(spark, sf_dir):
     """Page sources as text for HTML."""
-    return P.table(spark, sf_dir, "pages").select("page_id", T.escape_html(F.substring("html", 1, 400)).alias("text"))
+    return P.table(spark, sf_dir, "pages").select("page_id", T.escape_html(F.col("html")).alias("text"))
 
 
 @query("SELECT conv_id, trim(string_agg(text, ' ' ORDER BY turn, text) FILTER (WHERE role = 'assistant')) AS text FROM conversations GROUP BY conv_id HAVING count(*) FILTER (WHERE role = 'assistant') > 0")

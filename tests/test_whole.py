@@ -13,6 +13,13 @@ CUTS = {
     "q_date_axis": {" WHERE month(date) = 5": "", " WHERE day(date) = 11": ""},
     "q_rss_items": {" WHERE id % 5 = 0": ""},
     "q_keyword_lines": {"left(text, 40)": "text", " WHERE conv_id < 20": ""},
+    "q_escape_html": {"left(html, 400)": "html"},
+    "q_retention": {"left(summary, 40)": "summary"},
+    "q_stabilization_flag": {"left(summary, 50)": "summary"},
+    "q_policy_insight": {"left(summary, 50)": "summary", " AND id % 9 > 1": ""},
+    "q_page_insight": {"left(summary, 50)": "summary", " AND id % 9 > 2": ""},
+    "q_keyword_match": {"left(summary, 60)": "summary"},
+    "q_keyword_excerpt": {"left(summary, 60)": "summary"},
 }
 
 
@@ -33,3 +40,19 @@ def test_keywords_of_comment_lines_that_share_a_number(spark):
 
     lines = spark.createDataFrame([("a, b", 1), ("# c, d", 1), (None, 2)], "value string, seq long")
     assert {r["keyword"] for r in keywords_of(lines).collect()} == {"a", "b"}
+
+
+def test_insight_of_each_rule(spark):
+    from harrow.operators import documents as D
+
+    def said(summary, **kw):
+        rows = [(1, "t", summary, "official", "2024-01-02"), (2, "t", "x", "official", "2024-01-01")]
+        return D.insight(spark.createDataFrame(rows, "id long, title string, summary string, source_type string, published_at string"), **kw).first()["summary"]
+
+    late = "word " * 100
+    assert said(late + "예비분 추가  공급") == D.INSIGHTS["stabilization"]
+    assert said(late + "예비분 추가  공급", page_mode=True) == D.PAGE_STABILIZATION
+    assert said(late + "입찰") == D.INSIGHTS["auction"] == said(late + "유상", page_mode=True)
+    assert said(late + "할당") == D.INSIGHTS["allocation"]
+    assert said(late + "상쇄") == D.INSIGHTS["offset"]
+    assert said(late) == D.INSIGHTS["other"]
