@@ -40,19 +40,26 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document of the smallest id."""
+    """Of each group of near duplicates the row of the smallest id, then of the smallest hashes of its text and of all its
+    columns.  Rows without an id come after those with one; texts without words are no duplicates."""
     begin(spark)
-    later = checkpoint(jaccard_join.near_duplicates(docs).where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct())
-    maybe, kept = among(docs, later, ["doc_id"])
-    return kept.unionByName(maybe.join(later, "doc_id", "left_anti")).select(*docs.columns)
+    rows = docs.withColumns({"_h": F.xxhash64("text"), "_row": F.xxhash64(*docs.columns)})
+    texts = jaccard_join.near_duplicates(rows, key="_h").where("n_shingles > 0").groupBy("_h", "component_id").count()
+    texts = checkpoint(texts.where("count > 1 or _h != component_id").select("_h", "component_id"))
+    grouped = checkpoint(texts.union(texts.select("component_id", "component_id")).distinct())
+    maybe, alone = among(rows, grouped, ["_h"])
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "_h", "_row")
+    first = checkpoint(maybe.select("doc_id", "_h", "_row").join(grouped, "_h").groupBy("component_id").agg(F.min(order).alias("first")).select("first._h", "first._row"))
+    kept = maybe.join(first, ["_h", "_row"], "left_semi").dropDuplicates(["_h", "_row"])
+    return alone.unionByName(maybe.join(grouped, "_h", "left_anti")).unionByName(kept).select(*docs.columns)
 
 
 def without_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the words of passages that occur elsewhere."""
     begin(spark)
-    changed = stored(substring_dedup.without_repeats(docs).select(F.col("id").alias("doc_id"), "h", "kept"), "kept")
-    maybe, whole = among(docs.withColumn("h", F.xxhash64("text")), changed, ["doc_id", "h"])
-    cut = with_text(maybe.join(changed, ["doc_id", "h"], "left"), F.coalesce("kept", "text"), docs.columns)
+    changed = stored(substring_dedup.without_repeats(docs).select("id", "h", "kept"), "kept")
+    maybe, whole = among(docs.withColumns({"id": substring_dedup.row_id("doc_id", "text"), "h": F.xxhash64("text")}), changed, ["id", "h"])
+    cut = with_text(maybe.join(changed, ["id", "h"], "left"), F.coalesce("kept", "text"), docs.columns)
     return cut.unionByName(with_text(whole, F.col("text"), docs.columns))
 
 

@@ -230,7 +230,7 @@ def unpacked(words: bytes) -> np.ndarray:
 
 
 def verified(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """a, b (ids of classes) of the pairs (a, b: d1) that are linked."""
+    """The pairs (a, b: d1 of two classes) that are linked."""
     side = lambda x: classes.select(F.col("d1").alias(x), F.col("id").alias(f"id_{x}"), F.col("words").alias(f"words_{x}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b").select("id_a", "words_a", "id_b", "words_b")
 
@@ -302,16 +302,21 @@ def hot_links(classes: DataFrame, block_rows: int = 2048) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text", common_over: int = 12, most_common: int = 1_000_000) -> DataFrame:
-    """A row per document: the key, n_shingles and component_id (smallest key reachable by links, its own included)."""
+    """A row per document: the key, n_shingles and component_id (smallest key reachable by links, its own included).
+
+    Links are between texts: rows that share a key may be in different components, and rows without one are compared
+    like others.  A component_id is null only where no row of the component has a key.
+    """
     common = common_shingles(docs, text, common_over, most_common)
     rows = stored(prepared(docs, key, text, common), "shingles")
-    members = rows.where("n > 0").groupBy("d1", "d2").agg(F.min("id").alias("class"))
+    members = rows.where("n > 0").groupBy("d1", "d2").agg(F.min("id").alias("first"))
     pairs = checkpoint(candidates(shared_counts(rows)))
     wanted = pairs.select(F.col("a").alias("d1")).union(pairs.select("b")).distinct()
     kept = rows.where("words is not null").select("d1", "d2", "words", "hot")
     chosen = among(kept.where("not hot"), wanted, ["d1"])[0].join(wanted, "d1", "left_semi").unionByName(kept.where("hot"))
-    classes = checkpoint(chosen.groupBy("d1", "d2").agg(F.first("words").alias("words"), F.first("hot").alias("hot")).join(members, ["d1", "d2"]).select("d1", F.col("class").alias("id"), "words", "hot"))
-    found = components(verified(pairs, classes).union(hot_links(classes)))
-    whole = rows.select("id", "d1", "d2", "n").join(members, ["d1", "d2"], "left")
-    labelled = whole.join(found.select(F.col("id").alias("class"), "component"), "class", "left")
-    return labelled.select(F.col("id").alias(key), F.col("n").cast("long").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("component", "class")).otherwise(F.col("id")).alias("component_id"))
+    classes = checkpoint(chosen.groupBy("d1", "d2").agg(F.first("words").alias("words"), F.first("hot").alias("hot")).select("d1", F.col("d1").alias("id"), "words", "hot"))
+    found = components(verified(pairs, classes).union(hot_links(classes))).withColumnRenamed("id", "d1")
+    least = found.join(members, "d1").groupBy("component").agg(F.min("first").alias("least"))
+    reached = members.join(found.join(least, "component").select("d1", "least"), "d1", "left").select("d1", "d2", F.coalesce("least", "first").alias("component_id"))
+    labelled = rows.select("id", "d1", "d2", "n").join(reached, ["d1", "d2"], "left")
+    return labelled.select(F.col("id").alias(key), F.col("n").cast("long").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))

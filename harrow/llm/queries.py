@@ -95,10 +95,10 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without passages of 35 words that occur elsewhere."""
     small_batches(spark)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    facts = docs.select("doc_id", F.xxhash64("text").alias("h"), substring_dedup.counted_and_digested(F.col("text")).alias("f"))
-    all_docs = facts.select("doc_id", "h", "f.n_words", F.col("f.sha256").alias("whole_sha256"))
-    changed = substring_dedup.without_repeats(docs).select(F.col("id").alias("doc_id"), "h", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("cut_sha256"))
-    joined = all_docs.join(changed, ["doc_id", "h"], "left")
+    facts = docs.select("doc_id", substring_dedup.row_id("doc_id", "text").alias("id"), F.xxhash64("text").alias("h"), substring_dedup.counted_and_digested(F.col("text")).alias("f"))
+    all_docs = facts.select("doc_id", "id", "h", "f.n_words", F.col("f.sha256").alias("whole_sha256"))
+    changed = substring_dedup.without_repeats(docs).select("id", "h", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("cut_sha256"))
+    joined = all_docs.join(changed, ["id", "h"], "left")
     return joined.select("doc_id", "n_words", F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"), F.coalesce("cut_sha256", "whole_sha256").alias("kept_sha256"))
 
 

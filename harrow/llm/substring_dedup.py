@@ -22,7 +22,7 @@ repeated anchor twice; nothing is broadcast but at most ``most_common`` hashes (
 alone.
 
 Defined results: a null text has no words.  Texts of fewer words than a window are kept whole.  Rows that repeat an id
-are separate documents, whose windows count as repeated in each other.  What is left is joined by one space.  An empty
+are separate documents, whose windows count as repeated in each other, and so are rows without one (``row_id``).  What is left is joined by one space.  An empty
 table gives an empty one; extra columns pass through.
 """
 
@@ -241,11 +241,16 @@ def repeated_spans(stretches: DataFrame, window: int, shard_rows: int) -> DataFr
     return alone.unionByName(parts.mapInArrow(match, "d1 long, d2 long, spans array<struct<begin:int,end:int>>"))
 
 
+def row_id(key: str, text: str) -> Column:
+    """The key, or the text's hash where it is null.  Rows equal in this and in text lose the same words."""
+    return F.coalesce(F.col(key).cast("long"), F.xxhash64(F.col(text)))
+
+
 def without_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text", window: int = 35, common_over: int = 32, most_common: int = 1_000_000, shard_rows: int = 2000) -> DataFrame:
-    """id, h (xxhash64 of the text), n_removed and kept (the words left, joined by one space) of each document of which
+    """id (``row_id``), h (xxhash64 of the text), n_removed and kept (the words left, joined by one space) of each document of which
     words are removed; documents not listed keep all."""
     common = docs.sparkSession.sparkContext.broadcast(common_grams(docs, text, common_over, most_common))
-    keyed = docs.select(F.col(key).cast("long").alias("id"), F.xxhash64(F.col(text)).alias("h"), F.col(text).alias("text"))
+    keyed = docs.select(row_id(key, text).alias("id"), F.xxhash64(F.col(text)).alias("h"), F.col(text).alias("text"))
     runs = stored(runs_of(keyed, common, window), "runs")
     repeated = runs.groupBy("anchor").agg(F.sum("times").alias("times")).where("times > 1").select("anchor")
     of_docs = runs.drop("times").join(repeated, "anchor").groupBy("id", "h").agg(F.collect_set(F.struct("anchor", F.col("start").cast("int").alias("start"), F.col("windows").cast("int").alias("windows"))).alias("runs"))
