@@ -41,13 +41,14 @@ from pyspark.sql import functions as F
 
 from harrow.llm.common import among, checkpoint, stored
 from harrow.llm.components import components
-from harrow.llm.memo import Memo
+from harrow.llm.memo import Memo, kept_for, use
+from harrow.llm.word_hashes import Tally
 
 WORDS, ENOUGH, OF = 5, 75, 100  # linked: OF * intersection >= ENOUGH * union
-COUNTED = 3_000_000  # shingles that a task counts at a time
+BLOCK_ROWS, BLOCK_SHINGLES = 2048, 1_000_000  # of sets that a task compares with each other
 MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
-_HASHES = Memo(xxhash.xxh3_64_intdigest)
+_HASHES = kept_for("jaccard_join", Memo(xxhash.xxh3_64_intdigest))
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -83,12 +84,12 @@ def common_shingles(docs: DataFrame, text: str, over: int, most: int) -> np.ndar
     """Sorted hashes of shingles in more than ``over`` documents by the tasks' counts; the commonest, if over ``most``."""
 
     def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
-        size, seen = 0, set()
+        use("jaccard_join")
+        tally, seen = Tally(), set()
 
-        def counted() -> pa.RecordBatch:
-            found, n = np.unique(np.concatenate(held), return_counts=True)
-            return pa.RecordBatch.from_pydict({"shingle": pa.array(found[n > 1].astype(np.int64)), "n": pa.array(n[n > 1].astype(np.int64))})
+        def counted(found: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+            seen.clear()
+            return pa.RecordBatch.from_pydict({"shingle": pa.array(found.view(np.int64)), "n": pa.array(n.astype(np.int64))})
 
         for batch in batches:
             for t in batch.column(0).to_pylist():
@@ -96,13 +97,9 @@ def common_shingles(docs: DataFrame, text: str, over: int, most: int) -> np.ndar
                 digest = xxhash.xxh3_128_digest(b" ".join(words))
                 if words and digest not in seen:  # equal documents of a part count once
                     seen.add(digest)
-                    held.append(shingles(words))
-                    size += len(held[-1])
-                if size > COUNTED:
-                    yield counted()
-                    held, size, seen = [], 0, set()
-        if held:
-            yield counted()
+                    for full in tally.add(shingles(words)):
+                        yield counted(*full)
+        yield counted(*tally.recurring())
 
     rows = docs.select(text).mapInArrow(counts, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n")).where(F.col("n") > over)
     found = rows.orderBy(F.desc("n"), "shingle").limit(most).select("shingle").toArrow().column(0).to_numpy()
@@ -124,6 +121,7 @@ def prepared(docs: DataFrame, key: str, text: str, common: np.ndarray) -> DataFr
     shared = docs.sparkSession.sparkContext.broadcast(common)
 
     def prepare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        use("jaccard_join")
         packer, seen = zstandard.ZstdCompressor(level=3), set()
         for batch in batches:
             out: dict[str, list] = {c.split()[0]: [] for c in PREPARED.split(", ")}
@@ -157,6 +155,7 @@ def shared_counts(rows: DataFrame) -> DataFrame:
     tokens = rows.where("prefix is not null").select(F.explode("prefix").alias("h"), "d1", facts.alias("facts"))
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        use("jaccard_join")
         names = ("d1", "facts")
         held: list[np.ndarray] = []
         size = 0
@@ -235,15 +234,17 @@ def verified(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     both = pairs.join(side("a"), "a").join(side("b"), "b").select("id_a", "words_a", "id_b", "words_b")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[int, np.ndarray] = {}
+        use("jaccard_join")
+        known, size = {}, 0
         for batch in batches:
             out = []
             for ia, wa, ib, wb in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if len(known) > 2000:
-                    known.clear()
+                if size > 1_500_000:
+                    known, size = {}, 0
                 for i, w in ((ia, wa), (ib, wb)):
                     if i not in known:
                         known[i] = unpacked(w)
+                        size += len(known[i])
                 if linked(known[ia], known[ib]):
                     out.append((ia, ib))
             yield pa.RecordBatch.from_pydict({c: pa.array([o[i] for o in out], pa.int64()) for i, c in enumerate("ab")})
@@ -282,15 +283,30 @@ def block_links(ids_a: list[int], sets_a: list[np.ndarray], ids_b: list[int], se
     return out
 
 
-def hot_links(classes: DataFrame, block_rows: int = 2048) -> DataFrame:
-    """a, b: spanning links among the classes of mostly common shingles, block against block."""
-    hot = checkpoint(classes.where("hot").select("id", "words"))
-    blocks = max(1, -(-hot.count() // block_rows))
-    packed = hot.groupBy(F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("block")).agg(F.collect_list(F.struct("id", "words")).alias("sets"))
-    left = packed.select(F.col("block").alias("x"), F.explode(F.sequence(F.col("block"), F.lit(blocks - 1))).alias("y"), F.col("sets").alias("left"))
-    right = packed.select(F.explode(F.sequence(F.lit(0), F.col("block"))).alias("x"), F.col("block").alias("y"), F.col("sets").alias("right"))
+def hot_links(classes: DataFrame) -> DataFrame:
+    """a, b: spanning links among the classes of mostly common shingles, block against block.
+
+    Linked sets differ in size by a third at most, so blocks hold sets of one size level (powers of 4/3) and meet the
+    blocks of their own level and the next.  A level is cut into blocks by its number of rows and of shingles.
+    """
+    level = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(OF / ENOUGH))).cast("int")  # never two apart for linked sets
+    hot = checkpoint(classes.where("hot").select("id", "words", "n", level.alias("level")))
+    cuts = hot.groupBy("level").agg(F.greatest(F.ceil(F.count("*") / BLOCK_ROWS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
+    after = cuts.select((F.col("level") - 1).alias("level"), F.col("blocks").alias("after"))
+    before = cuts.select((F.col("level") + 1).alias("level"), F.col("blocks").alias("before"))
+    cuts = F.broadcast(cuts.join(after, "level", "left").join(before, "level", "left").na.fill(0))  # a row per size level
+    packed = hot.join(cuts, "level").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    packed = packed.groupBy("level", "block").agg(F.collect_list(F.struct("id", "words")).alias("sets"), F.first("blocks").alias("blocks"), F.first("after").alias("after"), F.first("before").alias("before"))
+    place = lambda level, block: F.struct(level.alias("level"), block.alias("block"))
+    upto = lambda n: F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+    own = place(F.col("level"), F.col("block"))
+    above = F.concat(F.transform(F.sequence(F.col("block"), F.col("blocks") - 1), lambda b: place(F.col("level"), b)), F.transform(upto(F.col("after")), lambda b: place(F.col("level") + 1, b)))
+    below = F.concat(F.transform(F.sequence(F.lit(0), F.col("block")), lambda b: place(F.col("level"), b)), F.transform(upto(F.col("before")), lambda b: place(F.col("level") - 1, b)))
+    left = packed.select(own.alias("x"), F.explode(above).alias("y"), F.col("sets").alias("left"))
+    right = packed.select(F.explode(below).alias("x"), own.alias("y"), F.col("sets").alias("right"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        use("jaccard_join")
         for batch in batches:
             out: list[tuple[int, int]] = []
             for a, b in zip(batch.column("left"), batch.column("right"), strict=True):
@@ -312,9 +328,9 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     members = rows.where("n > 0").groupBy("d1", "d2").agg(F.min("id").alias("first"))
     pairs = checkpoint(candidates(shared_counts(rows)))
     wanted = pairs.select(F.col("a").alias("d1")).union(pairs.select("b")).distinct()
-    kept = rows.where("words is not null").select("d1", "d2", "words", "hot")
+    kept = rows.where("words is not null").select("d1", "d2", "n", "words", "hot")
     chosen = among(kept.where("not hot"), wanted, ["d1"])[0].join(wanted, "d1", "left_semi").unionByName(kept.where("hot"))
-    classes = checkpoint(chosen.groupBy("d1", "d2").agg(F.first("words").alias("words"), F.first("hot").alias("hot")).select("d1", F.col("d1").alias("id"), "words", "hot"))
+    classes = checkpoint(chosen.groupBy("d1", "d2").agg(F.first("words").alias("words"), F.first("hot").alias("hot"), F.first("n").alias("n")).select("d1", F.col("d1").alias("id"), "n", "words", "hot"))
     found = components(verified(pairs, classes).union(hot_links(classes))).withColumnRenamed("id", "d1")
     least = found.join(members, "d1").groupBy("component").agg(F.min("first").alias("least"))
     reached = members.join(found.join(least, "component").select("d1", "least"), "d1", "left").select("d1", "d2", F.coalesce("least", "first").alias("component_id"))

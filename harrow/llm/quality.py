@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from harrow.llm.memo import Memo
+from harrow.llm.memo import Memo, kept_for, use
 
 BUCKETS, DIMS, NONZERO, WINDOW, HIDDEN = 8192, 64, 6, 2, 32
 STRIP = ".,;:!?\"'()[]{}<>*#$%&|-_/\\…«»„“”’"
@@ -53,7 +53,7 @@ def features(word: str) -> int:
     return bucket("w" + word.strip(STRIP).lower()) << 32 | bucket("s" + s) << 16 | bucket("r" + s)
 
 
-_FEATURES = Memo(features)
+_FEATURES = kept_for("quality", Memo(features))
 
 
 def word_buckets(text: str) -> tuple[np.ndarray, np.ndarray]:
@@ -202,6 +202,7 @@ def score_column(text: Column, model: Model, spark) -> Column:
 
     @F.arrow_udf("double")
     def score(texts: pa.Array) -> pa.Array:
+        use("quality")
         vectors, network = shared.value
         x = np.array([document_vector(t, vectors) for t in texts.to_pylist()]).reshape(-1, DIMS)
         return pa.array(network.scores(x))

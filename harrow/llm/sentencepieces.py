@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from harrow.llm.memo import Memo
+from harrow.llm.memo import Memo, kept_for, use
 
 SPACE = "▁"
 
@@ -60,7 +60,7 @@ class MergeEncoder:
         self.known = re.compile("[^" + "".join(re.escape(p) for p in whole if len(p) == 1) + "]")
         encoder = self
 
-        self.units = Memo(lambda unit: tuple(encoder.encode_unit(unit)))
+        self.units = Memo(lambda unit: tuple(encoder.encode_unit(unit)), most=300_000)
 
     def merged(self, text: str) -> list[str]:
         """The pieces after merging the best-scored neighbours, leftmost first, until none can be merged."""
@@ -80,7 +80,7 @@ class MergeEncoder:
         """Whether the two pieces stay as they are when their joint text is merged again."""
         pair = (left, right)
         if (known := self.pairs.get(pair)) is None:
-            if len(self.pairs) > 1_000_000:
+            if len(self.pairs) > 500_000:
                 self.pairs.clear()
             known = self.pairs[pair] = self.merged(left + right) == [left, right]
         return known
@@ -169,10 +169,11 @@ def _utf8(raw: bytes) -> str:
         return "".join(out)
 
 
-_ENCODERS: dict[str, MergeEncoder] = {}
+_ENCODERS: dict[str, MergeEncoder] = kept_for("sentencepieces", {})
 
 
 def encoder(model_path: str) -> MergeEncoder:
+    use("sentencepieces")
     if model_path not in _ENCODERS:
         _ENCODERS[model_path] = MergeEncoder(model_path)
     return _ENCODERS[model_path]

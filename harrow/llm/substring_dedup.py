@@ -39,9 +39,10 @@ from pyspark.sql import functions as F
 
 from harrow.llm.common import among, stored
 from harrow.llm.suffix_automaton import SuffixAutomaton, spans
-from harrow.llm.word_hashes import word_hashes
+from harrow.llm.memo import use
+from harrow.llm.word_hashes import Tally, word_hashes
 
-GRAM, COUNTED = 8, 3_000_000
+GRAM = 8
 MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
 
 
@@ -115,22 +116,14 @@ def common_grams(docs: DataFrame, text: str, over: int, most: int) -> np.ndarray
     """Sorted hashes of grams that occur more than ``over`` times by the tasks' counts; the commonest, if over ``most``."""
 
     def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
-        size = 0
-
-        def counted() -> pa.RecordBatch:
-            found, n = np.unique(np.concatenate(held), return_counts=True)
-            return pa.RecordBatch.from_pydict({"gram": pa.array(found[n > 1].view(np.int64)), "n": pa.array(n[n > 1].astype(np.int64))})
-
+        use("substring_dedup")
+        tally = Tally()
+        counted = lambda found, n: pa.RecordBatch.from_pydict({"gram": pa.array(found.view(np.int64)), "n": pa.array(n.astype(np.int64))})
         for batch in batches:
             for t in batch.column(0).to_pylist():
-                held.append(grams_of(word_hashes(raw_of(t))))
-                size += len(held[-1])
-                if size > COUNTED:
-                    yield counted()
-                    held, size = [], 0
-        if held:
-            yield counted()
+                for full in tally.add(grams_of(word_hashes(raw_of(t)))):
+                    yield counted(*full)
+        yield counted(*tally.recurring())
 
     rows = docs.select(text).mapInArrow(counts, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).where(F.col("n") > over)
     return np.sort(rows.orderBy(F.desc("n"), "gram").limit(most).select("gram").toArrow().column(0).to_numpy().view(np.uint64))
@@ -140,6 +133,7 @@ def runs_of(docs: DataFrame, common, window: int) -> DataFrame:
     """id, h, anchor, start, windows, times of each run of each document (id, h, text)."""
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        use("substring_dedup")
         marked = marks(common.value)
         for batch in batches:
             parts: list[list[np.ndarray]] = []
@@ -160,6 +154,7 @@ def stretches_of(docs: DataFrame, window: int) -> DataFrame:
     null where the task has had the same stretch before."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        use("substring_dedup")
         seen: set[bytes] = set()
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
         for batch in batches:
@@ -200,6 +195,7 @@ def repeated_spans(stretches: DataFrame, window: int, shard_rows: int) -> DataFr
     stream = several.where("shards > 1").select("anchor", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"), F.lit(2).alias("part"), "d1", "d2", "home", "times", "words")
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        use("substring_dedup")
         key, held, automata = None, [], None
         out: list[tuple] = []
 

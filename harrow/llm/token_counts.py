@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from harrow.llm.common import scratch_path
-from harrow.llm.memo import Memo
+from harrow.llm.memo import Memo, kept_for, use
 
 WORD = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
 ODD_SPACE = re.compile(r"[^\S \n]")
@@ -73,10 +73,11 @@ class Counter:
         return out
 
 
-_COUNTERS: dict[str, Counter] = {}
+_COUNTERS: dict[str, Counter] = kept_for("token_counts", {})
 
 
 def counter(path: str) -> Counter:
+    use("token_counts")
     if path not in _COUNTERS:
         _COUNTERS[path] = Counter(path)
     return _COUNTERS[path]

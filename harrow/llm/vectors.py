@@ -28,9 +28,9 @@ def usable(table: DataFrame, key: str, vector: str, *, zero: bool) -> tuple[Data
     return rows.where(F.size(x) == dims).groupBy("id").agg(F.min("vector").alias("vector")), dims
 
 
-def pack(rows: DataFrame, *group: str, name: str, more: tuple[Column, ...] = ()) -> DataFrame:
-    """One row per group with its (id, vector) structs in an array."""
-    return rows.groupBy(*group).agg(F.collect_list(F.struct("id", "vector")).alias(name), *more)
+def pack(rows: DataFrame, *group: str, name: str, more: tuple[Column, ...] = (), fields: tuple[str, ...] = ()) -> DataFrame:
+    """One row per group with its structs of id, vector and ``fields`` in an array."""
+    return rows.groupBy(*group).agg(F.collect_list(F.struct("id", "vector", *fields)).alias(name), *more)
 
 
 def unpack(cell: pa.ListScalar, dims: int) -> tuple[np.ndarray, np.ndarray]:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 
 BASE = 0x9E3779B97F4A7C15  # odd, so that its powers can be divided by
@@ -41,3 +43,29 @@ def word_hashes(raw: bytes) -> np.ndarray:
     out ^= out >> np.uint64(31)
     out *= np.uint64(0xBF58476D1CE4E5B9)
     return out ^ out >> np.uint64(30)
+
+
+class Tally:
+    """Counts 64-bit hashes in a buffer of fixed size."""
+
+    def __init__(self, most: int = 2_000_000):
+        self.held, self.n = np.empty(most, np.uint64), 0
+
+    def add(self, hashes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Takes the hashes; whenever the buffer is full, gives what recurs in it (``recurring``)."""
+        while len(hashes):
+            if self.n == len(self.held):
+                yield self.recurring()
+            part = hashes[: len(self.held) - self.n]
+            self.held[self.n : self.n + len(part)] = part
+            self.n += len(part)
+            hashes = hashes[len(part) :]
+
+    def recurring(self) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes that are in the buffer twice or more, and how often; empties it."""
+        x, self.n = self.held[: self.n], 0
+        x.sort()
+        again = np.zeros(len(x) + 1, bool)
+        np.equal(x[1:], x[:-1], out=again[1 : len(x)])
+        edges = np.flatnonzero(again[1:] != again[:-1])
+        return x[edges[::2]].copy(), edges[1::2] - edges[::2] + 1
