@@ -6,6 +6,12 @@ long blocks rich in stop words are good; all else is undecided, as short blocks
 pass gives each undecided block the label of its nearest decided neighbours.  When the page marks an article, only its
 blocks take part and undecided ones among them are good unless bad neighbours enclose them.
 
+The stop words are of four languages.  A page whose text hardly holds any is in another one: its blocks are judged by
+length and by links alone, and no block of any page is bad for its lack of stop words, it is only undecided.
+Ideographs, kana and Hangul syllables count as three letters each, as they say about as much.
+
+Pages are read in time linear in their length, however deep their elements are nested.
+
 Defined results: a null or empty page, or one without article blocks, has the empty text.  Unclosed tags, comments and
 scripts end with the page.  Pages are independent of each other, so repeated rows, ties and empty tables need no rule;
 an input column named like an output column is replaced.
@@ -14,6 +20,7 @@ an input column named like an output column is replaced.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 from html import unescape
 
@@ -49,6 +56,8 @@ BAD_WORDS = frozenset(
 #: Bad outside an article only: inside one they mark its own title.
 PAGE_HEADS = frozenset("header masthead topbar".split())
 SHORT, LONG, LINKED, RICH = 70, 200, 0.33, 0.30
+KNOWN = 0.08  # share of stop words from which on a page is in one of their languages
+DENSE = re.compile(r"[\u1100-\u11ff\u2e80-\u9fff\uac00-\ud7ff\uf900-\ufaff\U00020000-\U0003ffff]")
 
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?>[^>"']+|"[^"]*"|'[^']*')*+)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)|<[a-zA-Z/][^<>]*(?:>|\Z)""", re.S)
 ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
@@ -96,9 +105,18 @@ def blocks(html: str) -> list[Block]:
     """The page's blocks with text, in page order."""
     found: list[Block] = []
     stack: list[Element] = []
+    open_tags: Counter[str] = Counter()  # of the stack's elements
+    block_at: list[int] = []  # where block elements are in the stack
     now = Block(False, 0, False)
     articles = at = 0
 
+    def pop() -> Element:
+        e = stack.pop()
+        open_tags[e.tag] -= 1
+        if block_at and block_at[-1] == len(stack):
+            block_at.pop()
+        return e
+
     def add(raw: str) -> None:
         if raw:
             now.parts.append(text := unescape(raw) if "&" in raw else raw)
@@ -119,11 +137,11 @@ def blocks(html: str) -> list[Block]:
         if not tag:
             continue
         if m[1]:  # an end tag
-            if any(e.tag == tag for e in stack):
-                dropped = []
-                while (e := stack.pop()).tag != tag:
-                    dropped.append(e)
-                if tag in BLOCKS or any(e.tag in BLOCKS for e in dropped) or stack and stack[-1].bad != e.bad:
+            if open_tags[tag]:
+                held = len(block_at)
+                while (e := pop()).tag != tag:
+                    pass
+                if len(block_at) < held or stack and stack[-1].bad != e.bad:
                     begin()
             continue
         if tag in VOID:
@@ -137,19 +155,18 @@ def blocks(html: str) -> list[Block]:
                 end = re.compile(rf"</{re.escape(tag)}\b[^>]*(?:>|\Z)", re.I).search(html, at)
                 at = end.end() if end else len(html)
             continue
-        if tag in BLOCKS:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k].tag == "p" or stack[k].tag == tag and tag in ENDS_OWN_KIND:
-                    del stack[k:]
-                    break
-                if stack[k].tag in BLOCKS:
-                    break
+        if tag in BLOCKS and block_at and ((over := stack[block_at[-1]].tag) == "p" or over == tag and tag in ENDS_OWN_KIND):
+            for _ in range(len(stack) - block_at[-1]):
+                pop()
         top = stack[-1] if stack else Element("", False, 0, False)
         article = top.article
         if tag in ("article", "main") and not article:
             articles += 1
             article = articles
         bad = top.bad or announces_boilerplate(tag, attributes(m[3]), bool(top.article))
+        if tag in BLOCKS:
+            block_at.append(len(stack))
+        open_tags[tag] += 1
         stack.append(Element(tag, bad, article, top.link or tag == "a"))
         if tag in BLOCKS or bad != top.bad:
             begin()
@@ -159,20 +176,26 @@ def blocks(html: str) -> list[Block]:
     return found
 
 
-def first_pass(block: Block, scoped: bool) -> str:
-    """good, bad, or undecided: near (leans to good) and short."""
+def stop_words(text: str) -> tuple[int, int]:
+    """How many of a text's words are stop words, and how many words it has."""
+    words = text.split()
+    return sum(w.lower() in STOP_WORDS or NOT_LETTERS.sub("", w).lower() in STOP_WORDS for w in words), len(words)
+
+
+def first_pass(block: Block, counts: tuple[int, int], scoped: bool, known: bool) -> str:
+    """good, bad, or undecided: near (leans to good) and short.  ``known``: the page's language has listed stop words."""
     text = block.text
     if block.linked > LINKED * len(text) or len(text) < LONG and text.startswith(("©", "Copyright ", "(c) ")):
         return "bad"
-    if block.heading or len(text) < SHORT:
+    size = len(text) + 2 * len(DENSE.findall(text))
+    if block.heading or size < SHORT:
         return "short"
-    words = text.split()
-    rich = sum(w.lower() in STOP_WORDS or NOT_LETTERS.sub("", w).lower() in STOP_WORDS for w in words) / len(words)
-    if rich >= RICH:
-        return "good" if len(text) > LONG else "near"
-    if rich >= RICH / 2 or scoped:
-        return "near"
-    return "bad"
+    if not known:
+        return "good" if size > LONG else "near"
+    n, words = counts
+    if n >= RICH * words:
+        return "good" if size > LONG else "near"
+    return "near" if scoped or n >= RICH / 2 * words else "short"
 
 
 def second_pass(labels: list[str], headings: list[bool], scoped: bool) -> list[bool]:
@@ -219,7 +242,9 @@ def main_text(html: str | None) -> str:
     scope = max(size, key=lambda k: (size[k], -k), default=None)
     # Announced boilerplate may stand beside any block, so it is no neighbour to inherit from.
     found = [b for b in found if not b.bad and (scope is None or b.article == scope)]
-    good = second_pass([first_pass(b, bool(size)) for b in found], [b.heading for b in found], bool(size))
+    counts = [(0, 0) if b.heading or b.linked > LINKED * len(b.text) else stop_words(b.text) for b in found]
+    known = sum(n for n, _ in counts) >= KNOWN * sum(words for _, words in counts)
+    good = second_pass([first_pass(b, c, bool(size), known) for b, c in zip(found, counts, strict=True)], [b.heading for b in found], bool(size))
     return "\n\n".join(b.text for b, g in zip(found, good, strict=True) if g)
 
 
