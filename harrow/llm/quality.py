@@ -2,22 +2,26 @@
 
 Every word has two features, its spelling without punctuation and its shape (runs of capitals, small letters, digits and
 other characters), hashed into a fixed number of buckets; a word that repeats the one before it has another shape.  Each
-bucket has a sparse random index vector.  A bucket's learned vector is its index vector plus what its neighbours' index
-vectors add up to over a sample of the corpus (random indexing).  A document's vector is the mean over its words.  A
-two-layer network, trained with numpy on the sample's labels, scores it; a temperature fitted on rows kept out of its
-training calibrates the probabilities.
-
-The sample is bounded by ``sample_rows`` labelled rows, chosen by a hash of the row's key, so its vectors and labels fit the
-driver at any size of the corpus.  Scoring reads every text whole, needs no shuffle, and broadcasts buckets * dims
+bucket has a sparse random index vector of -1, 0 and 1.  A bucket's learned vector is its index vector plus what its
+neighbours' index vectors add up to over all documents (random indexing), both to length 1.  A document's vector is the
+mean over its words.  A two-layer network, trained with numpy on a sample's labels, scores it; a temperature fitted on
+rows kept out of its training calibrates the probabilities.
+
+The context sums are whole numbers, so they are the same in whatever order tasks add them up; a task holds one table of
+them (4 MB), and tables are added in two rounds, so no task reads those of all others and the driver gets one.  Only the
+network learns from a sample: ``sample_rows`` labelled rows, chosen by a hash of the row's key, so its vectors and labels fit
+the driver at any size of the corpus.  Scoring reads every text whole, needs no shuffle, and broadcasts buckets * dims
 floats (2 MB by default) and the network.
 
 Defined results: null and empty texts have the zero vector and get that vector's score; without any training label, or
-with labels of one kind only, every score is the share of label 1 (0.5 without labels).  Repeated texts get equal scores.  Null labels are not used; of several labels for a
-key the smallest counts.  An empty table gives an empty one; input columns named like output columns are replaced.
+with labels of one kind only, every score is the share of label 1 (0.5 without labels).  Repeated texts get equal scores.
+Null labels and keys are not used; of several labels for a key the smallest counts, and of several texts the one of the
+smallest hash.  An empty table gives an empty one; input columns named like output columns are replaced.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -68,14 +72,13 @@ def index_vectors(seed: int = 17) -> np.ndarray:
     rng, out = np.random.default_rng(seed), np.zeros((BUCKETS, DIMS), np.float32)
     places = np.argsort(rng.random((BUCKETS, DIMS)), axis=1)[:, :NONZERO]
     np.put_along_axis(out, places, rng.choice(np.array([-1, 1], np.float32), (BUCKETS, NONZERO)), 1)
-    return out / np.sqrt(NONZERO)
+    return out
 
 
-def context_sums(texts: list[str]) -> np.ndarray:
-    """What neighbours within WINDOW words add to each bucket's vector."""
-    index, out = index_vectors(), np.zeros((BUCKETS, DIMS), np.float32)
+def add_contexts(out: np.ndarray, texts: Iterable[str | None], index: np.ndarray) -> None:
+    """Adds to ``out`` what neighbours within WINDOW words add to each bucket's vector."""
     for text in texts:
-        all_words, all_shapes = word_buckets(text)
+        all_words, all_shapes = word_buckets(text or "")
         for at in range(0, len(all_words), CHUNK):
             words, shapes = all_words[at : at + CHUNK], all_shapes[at : at + CHUNK]
             own = index[words] + index[shapes]
@@ -88,7 +91,6 @@ def context_sums(texts: list[str]) -> np.ndarray:
                 kinds, starts = np.unique(buckets[order], return_index=True)
                 if len(kinds):
                     out[kinds] += np.add.reduceat(around[order], starts, axis=0)
-    return out
 
 
 def document_vector(text: str | None, vectors: np.ndarray) -> np.ndarray:
@@ -156,39 +158,62 @@ class Model:
     share: float
 
 
-def sampled(docs: DataFrame, labels: DataFrame, key: str, label: str, sample_rows: int) -> DataFrame:
-    """docs with the labels of at most about sample_rows keys, chosen by hash; the labels' side is broadcast, as it is bounded."""
+def sampled(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, sample_rows: int) -> DataFrame:
+    """key, text and _label of at most about sample_rows keys, chosen by hash; the labels' side is broadcast, as it is bounded."""
     usable = labels.where(F.col(key).isNotNull() & F.col(label).isNotNull()).groupBy(key).agg(F.min(label).cast("int").alias("_label"))
     n = usable.count()
     chosen = usable.where(F.pmod(F.xxhash64(F.lit("sample"), F.col(key)), F.lit(1_000_000)) < int(1_000_000 * min(1.0, sample_rows / max(n, 1)))).limit(2 * sample_rows)
-    return docs.join(F.broadcast(chosen), key)
+    content = F.coalesce(F.col(text), F.lit(""))
+    found = docs.select(key, content.alias("text")).join(F.broadcast(chosen), key)
+    return found.groupBy(key).agg(F.min_by("text", F.xxhash64("text")).alias("text"), F.first("_label").alias("_label"))
+
+
+def context_table(docs: DataFrame, text: str, slots: int = 64) -> np.ndarray:
+    """The context sums of all documents."""
+
+    def rows_of(total: np.ndarray, slot: int) -> pa.RecordBatch:
+        parts = [(i, p.tobytes()) for i, p in enumerate(np.split(total, BUCKETS // STORED)) if p.any()]
+        return pa.RecordBatch.from_pydict({"part": pa.array([r[0] for r in parts], pa.int32()), "slot": pa.array([slot] * len(parts), pa.int32()), "sums": pa.array([r[1] for r in parts], pa.binary())})
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        use("quality")
+        total, index = np.zeros((BUCKETS, DIMS)), index_vectors()
+        for b in batches:
+            add_contexts(total, b.column(0).to_pylist(), index)
+        yield rows_of(total, TaskContext.get().partitionId() % slots)
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((BUCKETS, DIMS))
+        for b in batches:
+            for part, raw in zip(b.column("part").to_pylist(), b.column("sums"), strict=True):
+                total[part * STORED : (part + 1) * STORED] += np.frombuffer(raw.as_buffer()).reshape(-1, DIMS)
+        yield rows_of(total, 0)
+
+    schema, total = "part int, slot int, sums binary", np.zeros((BUCKETS, DIMS))
+    by_task = docs.select(text).mapInArrow(sums, schema)
+    for row in by_task.repartition("part", "slot").mapInArrow(added, schema).repartition("part").mapInArrow(added, schema).toLocalIterator():
+        total[row["part"] * STORED : (row["part"] + 1) * STORED] = np.frombuffer(row["sums"]).reshape(-1, DIMS)
+    return total
 
 
 def fit(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", label: str = "quality", sample_rows: int = 16_000) -> Model:
     """Trains on labels (key, label 0/1): pass only those rows that may be learned from."""
     spark = docs.sparkSession
-    sample = sampled(docs.select(key, text), labels, key, label, sample_rows).select(F.coalesce(F.col(text), F.lit("")).alias("text"), "_label", F.xxhash64(key).alias("_place")).repartition(12, "_place")
-
-    def sums(batches):
-        total = np.zeros((BUCKETS, DIMS), np.float32)
-        for b in batches:
-            total += context_sums(b.column("text").to_pylist())
-        parts = np.split(total, BUCKETS // STORED)
-        rows = [(i, p.tobytes()) for i, p in enumerate(parts) if p.any()]
-        yield pa.RecordBatch.from_pydict({"part": pa.array([r[0] for r in rows], pa.int32()), "sums": pa.array([r[1] for r in rows], pa.binary())})
-
-    total = np.zeros((BUCKETS, DIMS), np.float32)
-    for row in sample.select("text").mapInArrow(sums, "part int, sums binary").toLocalIterator():
-        total[row["part"] * STORED : (row["part"] + 1) * STORED] += np.frombuffer(row["sums"], np.float32).reshape(-1, DIMS)
+    total = context_table(docs, text)
     norms = np.linalg.norm(total, axis=1, keepdims=True)
-    vectors = index_vectors() + total / np.maximum(norms, 1e-9)
+    vectors = (index_vectors() / np.sqrt(NONZERO) + total / np.maximum(norms, 1e-9)).astype(np.float32)
     shared = spark.sparkContext.broadcast(vectors)
 
     @F.arrow_udf("binary")
     def vector(texts: pa.Array) -> pa.Array:
+        use("quality")
         return pa.array([document_vector(t, shared.value).tobytes() for t in texts.to_pylist()], pa.binary())
 
-    rows = sorted(sample.select("_place", vector("text").alias("v"), "_label").collect(), key=lambda r: (r["_place"], bytes(r["v"])))
+    sample = sampled(docs, labels, key, text, label, sample_rows)
+    rows = sorted(sample.select(F.xxhash64(key).alias("_place"), vector("text").alias("v"), "_label").collect(), key=lambda r: (r["_place"], bytes(r["v"])))
+    shared.destroy()
     y = np.array([r["_label"] for r in rows], float)
     if not rows or y.min() == y.max():
         return Model(None, None, float(y.mean()) if rows else 0.5)

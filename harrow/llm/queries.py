@@ -87,8 +87,8 @@ def op8_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words the mix takes of every document."""
     sized = checkpoint(mixing.with_size(table(spark, sf_dir, "documents").select("doc_id", "text", "source")).drop("text"))
-    sources = mixing.mix_sources(sized)
-    return mixing.mix_documents(sized, sources, mixing.shard_blocks(sources)).select("doc_id", "source", "size", "source_size", "target", "taken")
+    dealt = mixing.deal(mixing.mix_sources(sized))
+    return mixing.mix_documents(sized, dealt).select("doc_id", "source", "size", "source_size", "target", "taken")
 
 
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

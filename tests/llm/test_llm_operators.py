@@ -283,7 +283,8 @@ def test_token_counts(spark, tmp_path):
 def mixed(spark, docs, **kw):
     sized = mixing.with_size(docs).cache()
     sources = mixing.mix_sources(sized, **kw)
-    return mixing.mix_documents(sized, sources, mixing.shard_blocks(sources, shards=4, blocks=64)), sources
+    dealt = mixing.deal(sources, shards=4, least_blocks=64)
+    return mixing.mix_documents(sized, dealt), dealt
 
 
 def targets_of(sizes, weights, total):
@@ -324,14 +325,21 @@ def test_mix(spark):
 
 
 def test_blocks_are_dealt_once(spark):
-    _, facts = mixed(spark, documents(spark, ["w " * 30] * 200, ["a", "b", "c", "d"] * 50))
-    blocks = mixing.shard_blocks(facts, shards=4, blocks=64).collect()
-    for s in {b["ordinal"] for b in blocks}:
-        own = sorted(b["block"] for b in blocks if b["ordinal"] == s)
-        assert own == list(range(len(own)))
-    shards = Counter(b["shard"] for b in blocks)
-    assert len(shards) == 4 and max(shards.values()) - min(shards.values()) <= 2
-    assert [b["place"] for b in sorted(blocks, key=lambda b: (b["shard"], b["place"]))] == [p for s in sorted(shards) for p in range(1, shards[s] + 1)]
+    out, facts = mixed(spark, documents(spark, ["w " * 30] * 200, ["a", "b", "c", "d"] * 50))
+    rows, facts = out.collect(), {r["source"]: r for r in facts.collect()}
+    shard_of, words, sources_in = {}, Counter(), {}
+    for r in rows:
+        for p in r["pieces"]:
+            shard_of.setdefault((r["source"], p["draw"]), set()).add((p["shard"], p["place"]))
+            words[r["source"], p["draw"]] += p["n_words"]
+            sources_in.setdefault(p["shard"], set()).add(r["source"])
+    assert all(len(x) == 1 for x in shard_of.values())  # a draw goes to one shard and place
+    for s, f in facts.items():
+        assert sorted(d for x, d in shard_of if x == s) == list(range(f["draws"]))  # every draw of the quota, once
+        assert max(words[s, d] for d in range(f["draws"])) <= f["block_words"]
+    sizes = Counter(shard for x in shard_of.values() for shard, _ in x)
+    assert len(sizes) == 4 and max(sizes.values()) - min(sizes.values()) <= 2
+    assert all(len(x) == 4 for x in sources_in.values())  # shards mix all sources
 
 
 def test_hypergeometric_draws(spark):
