@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harrow.llm import jaccard_join, mixing, quality, sentencepieces, substring_dedup
@@ -64,15 +64,26 @@ def without_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix: a row for each time that a document is taken, cut where only its first words are."""
+    """The mix: a row for each part of a document that a drawn block holds, shard by shard and in each shard's shuffled order.
+
+    The text of a document that lies in one block stays as it is; of one that a block's end cuts, each part is its words,
+    joined by one space.
+    """
     begin(spark)
     sized = mixing.with_size(docs)
-    sources = mixing.mix_sources(sized)
-    mixed = mixing.mix_documents(sized, sources, mixing.shard_blocks(sources)).where("taken > 0")
-    whole, rest = F.expr("int(taken div size)"), F.expr("int(taken % size)")
-    cut = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(mixing.WORD), 0), 1, rest), " ")
-    texts = F.when(rest > 0, F.concat(F.array_repeat("text", whole), F.array(cut))).otherwise(F.array_repeat("text", whole))
-    return with_text(mixed, F.explode(texts), docs.columns)
+    mixed = mixing.mix_documents(sized, mixing.deal(mixing.mix_sources(sized)))
+
+    def parts(words: Column | None) -> Column:
+        whole = F.col("text")
+        text = lambda p: whole if words is None else F.when(p["n_words"] == F.col("size"), whole).otherwise(F.array_join(F.slice(words, (p["from_word"] + 1).cast("int"), p["n_words"].cast("int")), " "))
+        return F.transform("pieces", lambda p: F.struct(p["shard"].alias("shard"), p["place"].alias("place"), p["draw"].alias("draw"), p["from_word"].alias("from_word"), text(p).alias("text")))
+
+    cut = mixing.let(F.regexp_extract_all("text", F.lit(mixing.WORD), 0), parts)
+    taken = F.when(F.exists("pieces", lambda p: p["n_words"] < F.col("size")), cut).otherwise(parts(None))
+    others = [c for c in docs.columns if c != "text"]
+    rows = mixed.select(*others, F.col("place").alias("_in_source"), F.explode(taken).alias("_part")).withColumn("text", F.col("_part.text"))
+    order = ("_part.shard", "_part.place", "_part.draw", "_in_source", "_part.from_word")
+    return with_text(rows.repartition("_part.shard").sortWithinPartitions(*order), F.col("text"), docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
