@@ -2,33 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from harrow.shared import checkpoint, delete, new_path, shared_folder
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; where that is unset, as in tests, a temporary one of this machine is set."""
-    if not (folder := spark.conf.get("spark.checkpoint.dir", None)):
-        if (old := spark.sparkContext.getCheckpointDir()) is None:
-            spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="harrow-"))
-            old = spark.sparkContext.getCheckpointDir()
-        return old
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
-    return folder
+__all__ = ["among", "checkpoint", "delete", "drop_scratch", "scratch_path", "shared_folder", "small_batches", "stored", "table"]
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """The frame, computed and kept in the shared folder, so that a lost executor costs no recomputation."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 #: Tables of this driver in the shared folder that frames may still read.
@@ -36,15 +19,10 @@ _SCRATCH: list[str] = []
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    _SCRATCH.append(f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}")
+    _SCRATCH.append(new_path(spark, name))
     return _SCRATCH[-1]
 
 
-def delete(spark: SparkSession, path: str) -> None:
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
-
-
 def drop_scratch(spark: SparkSession) -> None:
     """Deletes the tables that operators have left in the shared folder.  Frames made of them can't be read any more, so
     what they hold must have been written."""

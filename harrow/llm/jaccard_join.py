@@ -2,14 +2,19 @@
 
 Documents are sets of word 5-grams.  All sets order their shingles alike: common ones last, others by hash.  A set of n
 shingles with similarity t to another misses at most e = n - ceil(t n) of its own, so two linked sets that both leave
-out c common shingles still share one of the first e + 1 that are not common: the prefix is lengthened by as many
-shingles as it skips for their candidate cost, and correspondingly more must be shared.  How many: up to the smaller of
-two prefixes' last hashes every uncommon shingle of either set is in its prefix, so the number shared there plus what
-follows in the set whose prefix ends first bounds the overlap.  Only pairs whose bound reaches the overlap that t asks
-for are verified, exactly.
+out common shingles still share one of the first e + 1 that are not common.  A document lengthens its prefix to e + l
+shingles, of which l must then be shared (roughly; see below): for each l up to ``LONGEST`` its cost is estimated as the
+prefix's shingles, the entries in their lists, and the candidates that share l of them, each as dear as its own size; the
+cheapest l is taken.  So a document with many near neighbours asks for several matches before it is verified, and one
+whose shingles are its own doesn't.
 
-Which shingles are common is counted over all documents: tasks count theirs, and those seen twice in a part of a task
-are summed.  The set of common shingles is a matter of cost alone; any set gives the same links.
+How many must be shared: up to the smaller of two prefixes' last hashes every uncommon shingle of either set is in its
+prefix, so the number shared there plus what follows in the set whose prefix ends first bounds the overlap.  Only pairs
+whose bound reaches the overlap that t asks for are verified, exactly.
+
+Which shingles are common, and how long the lists of the others are, is counted over all documents: tasks count theirs,
+and those seen twice in a part of a task are summed; lists' lengths go into ``LISTS`` cells by hash, of which the largest
+counts.  Both are a matter of cost alone; any counts give the same links.
 
 Sets of which too few shingles are uncommon to fill a prefix (members of very large groups of near copies, for one) are
 compared with each other in blocks, by counting shared shingles in a task, which sends on a spanning forest of the links
@@ -19,7 +24,7 @@ Documents with equal word sequences are one class from the start, and only class
 
 Scale: texts are read twice; shuffled are, of each document, about a quarter of its shingles, its compressed words once,
 and of candidate pairs their compressed words.  No list of a shingle's documents is long, as long ones are common.  What
-is broadcast is at most ``most_common`` hashes (8 MB).
+is broadcast is at most ``most_common`` hashes (8 MB) and ``LISTS`` bytes (2 MB).
 
 Shingles are 64-bit hashes: two different shingles of one pair of documents agree with a chance of about 1e-11.
 
@@ -46,6 +51,9 @@ from harrow.llm.word_hashes import Tally
 
 WORDS, ENOUGH, OF = 5, 75, 100  # linked: OF * intersection >= ENOUGH * union
 BLOCK_ROWS, BLOCK_SHINGLES = 2048, 1_000_000  # of sets that a task compares with each other
+LONGEST, LISTS = 4, 1 << 21  # matches asked for at most; cells of estimated list lengths
+#: Estimated costs, in units of a list's entry: of a shingle in a prefix, and of verifying a candidate, by its shingles.
+PER_SHINGLE, PER_VERIFIED = 2.0, 0.25
 MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
 _HASHES = kept_for("jaccard_join", Memo(xxhash.xxh3_64_intdigest))
@@ -80,14 +88,15 @@ def linked(a: np.ndarray, b: np.ndarray) -> bool:
     return OF * both >= ENOUGH * (len(a) + len(b) - both)
 
 
-def common_shingles(docs: DataFrame, text: str, over: int, most: int) -> np.ndarray:
-    """Sorted hashes of shingles in more than ``over`` documents by the tasks' counts; the commonest, if over ``most``."""
+def counted_shingles(docs: DataFrame, text: str, over: int, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes of shingles in more than ``over`` documents by the tasks' counts (the commonest, if over ``most``), and
+    the lengths of the other shingles' lists by cell."""
 
     def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         use("jaccard_join")
         tally, seen = Tally(), set()
 
-        def counted(found: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        def batch_of(found: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
             seen.clear()
             return pa.RecordBatch.from_pydict({"shingle": pa.array(found.view(np.int64)), "n": pa.array(n.astype(np.int64))})
 
@@ -98,12 +107,24 @@ def common_shingles(docs: DataFrame, text: str, over: int, most: int) -> np.ndar
                 if words and digest not in seen:  # equal documents of a part count once
                     seen.add(digest)
                     for full in tally.add(shingles(words)):
-                        yield counted(*full)
-        yield counted(*tally.recurring())
+                        yield batch_of(*full)
+        yield batch_of(*tally.recurring())
+
+    counted = stored(docs.select(text).mapInArrow(counts, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n")), "counts")
+    found = counted.where(F.col("n") > over).orderBy(F.desc("n"), "shingle").limit(most).select("shingle").toArrow().column(0).to_numpy()
+    by_cell = counted.where(F.col("n") <= over).groupBy(F.col("shingle").bitwiseAND(LISTS - 1).cast("int").alias("cell")).agg(F.least(F.max("n"), F.lit(127)).cast("byte").alias("n")).toArrow()
+    lists = np.ones(LISTS, np.uint8)
+    lists[by_cell.column("cell").to_numpy()] = by_cell.column("n").to_numpy()
+    return np.sort(found.astype(np.uint64)), lists
+
 
-    rows = docs.select(text).mapInArrow(counts, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n")).where(F.col("n") > over)
-    found = rows.orderBy(F.desc("n"), "shingle").limit(most).select("shingle").toArrow().column(0).to_numpy()
-    return np.sort(found.astype(np.uint64))
+def matches_to_ask(rest: np.ndarray, n: int, lists: np.ndarray) -> int:
+    """How many matches the cheapest prefix of a set asks for: ``rest``, its uncommon shingles in order; n, its size."""
+    spare = spared(n)
+    most = min(LONGEST, len(rest) - spare)
+    entries = np.cumsum(lists[(rest[: spare + most] & np.uint64(LISTS - 1)).astype(np.int64)].astype(np.int64) - 1)
+    cost = [PER_SHINGLE * (spare + m) + entries[spare + m - 1] * (1 + PER_VERIFIED * n / m) for m in range(1, most + 1)]
+    return 1 + int(np.argmin(cost))
 
 
 def is_common(s: np.ndarray, common: np.ndarray) -> np.ndarray:
@@ -113,12 +134,13 @@ def is_common(s: np.ndarray, common: np.ndarray) -> np.ndarray:
     return common[at] == s
 
 
-PREPARED = "id long, d1 long, d2 long, n int, hot boolean, last long, prefix array<long>, words binary"
+PREPARED = "id long, d1 long, d2 long, n int, asked int, last long, prefix array<long>, words binary"
 
 
-def prepared(docs: DataFrame, key: str, text: str, common: np.ndarray) -> DataFrame:
-    """PREPARED's columns of each document; prefix and words are null where the task has had the same words before."""
-    shared = docs.sparkSession.sparkContext.broadcast(common)
+def prepared(docs: DataFrame, key: str, text: str, common: np.ndarray, lists: np.ndarray) -> DataFrame:
+    """PREPARED's columns of each document; prefix and words are null where the task has had the same words before.
+    ``asked`` is the number of matches asked for, 0 for sets of mostly common shingles."""
+    shared = docs.sparkSession.sparkContext.broadcast((common, lists))
 
     def prepare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         use("jaccard_join")
@@ -131,27 +153,27 @@ def prepared(docs: DataFrame, key: str, text: str, common: np.ndarray) -> DataFr
                 digest = xxhash.xxh3_128_digest(joined)
                 s = shingles(words)
                 n, fresh = len(s), bool(words) and digest not in seen
-                prefix, last, hot = None, 0, False
+                prefix, last, asked = None, 0, 1
                 if fresh:
                     if len(seen) > 500_000:
                         seen.clear()
                     seen.add(digest)
-                    rest = s[~is_common(s, shared.value)]
-                    hot = len(rest) <= spared(n)
-                    prefix = rest if hot else rest[: spared(n) + 1]
-                    last = np.iinfo(np.int64).max if hot else int(prefix[-1] >> np.uint64(1))
+                    rest = s[~is_common(s, shared.value[0])]
+                    asked = 0 if len(rest) <= spared(n) else matches_to_ask(rest, n, shared.value[1])
+                    prefix = rest[: spared(n) + asked] if asked else rest
+                    last = int(prefix[-1] >> np.uint64(1)) if asked else np.iinfo(np.int64).max
                 d1, d2 = np.frombuffer(digest, np.int64)
-                for c, x in zip(out, (i, int(d1), int(d2), n, hot, last, None if prefix is None else prefix.astype(np.int64), packer.compress(joined) if fresh else None), strict=True):
+                for c, x in zip(out, (i, int(d1), int(d2), n, asked, last, None if prefix is None else prefix.astype(np.int64), packer.compress(joined) if fresh else None), strict=True):
                     out[c].append(x)
-            yield pa.RecordBatch.from_pydict({c: pa.array(v, t) for (c, v), t in zip(out.items(), (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.int64(), pa.list_(pa.int64()), pa.binary()), strict=True)})
+            yield pa.RecordBatch.from_pydict({c: pa.array(v, t) for (c, v), t in zip(out.items(), (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.binary()), strict=True)})
 
     return docs.select(F.col(key).cast("long"), text).mapInArrow(prepare, PREPARED)
 
 
 def shared_counts(rows: DataFrame) -> DataFrame:
     """a, b (d1 of two classes) and how many prefix shingles they share, with both sizes, from the prepared rows."""
-    # A shingle carries its set's facts in one number: where the prefix ends (the hash's first 16 bits; ties are safe), size, hot.
-    facts = F.shiftleft(F.shiftright("last", 47), 32).bitwiseOR(F.shiftleft(F.col("n").cast("long"), 1)).bitwiseOR(F.col("hot").cast("long"))
+    # A shingle carries its set's facts in one number: where the prefix ends (the hash's first 16 bits; ties are safe), size, matches asked for.
+    facts = F.shiftleft(F.shiftright("last", 47), 32).bitwiseOR(F.shiftleft(F.col("n").cast("long"), 3)).bitwiseOR(F.col("asked").cast("long"))
     tokens = rows.where("prefix is not null").select(F.explode("prefix").alias("h"), "d1", facts.alias("facts"))
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -184,12 +206,13 @@ def shared_counts(rows: DataFrame) -> DataFrame:
             while len(left := left[left + gap < ends[left]]):  # the pairs that stand so far apart in their runs
                 a, b = left, left + gap
                 fa, fb = cols["facts"][a], cols["facts"][b]
-                na, nb = fa >> 1 & 0x7FFFFFFF, fb >> 1 & 0x7FFFFFFF
-                keep = (OF * np.minimum(na, nb) >= ENOUGH * np.maximum(na, nb)) & (fa & fb & 1 == 0)
-                a, b, na, nb = a[keep], b[keep], na[keep], nb[keep]
-                la, lb = fa[keep] >> 32, fb[keep] >> 32
-                first_ends = np.where(la < lb, na, np.where(la > lb, nb, np.maximum(na, nb)))  # whose prefix ends first
-                held.append(np.column_stack([cols["d1"][a], cols["d1"][b], np.ones(len(a), np.int64), na + nb, first_ends]))
+                na, nb = fa >> 3 & 0x1FFFFFFF, fb >> 3 & 0x1FFFFFFF
+                keep = (OF * np.minimum(na, nb) >= ENOUGH * np.maximum(na, nb)) & ((fa & 7) + (fb & 7) > 0)
+                a, b, na, nb, fa, fb = a[keep], b[keep], na[keep], nb[keep], fa[keep], fb[keep]
+                la, lb = fa >> 32, fb >> 32
+                after_a, after_b = -(-ENOUGH * na // OF) - (fa & 7), -(-ENOUGH * nb // OF) - (fb & 7)  # what follows a prefix
+                after = np.where(la < lb, after_a, np.where(la > lb, after_b, np.maximum(after_a, after_b)))  # of that which ends first
+                held.append(np.column_stack([cols["d1"][a], cols["d1"][b], np.ones(len(a), np.int64), na + nb, after]))
                 size += len(a)
                 if size > 1_500_000:
                     held = [reduced()]
@@ -211,17 +234,16 @@ def shared_counts(rows: DataFrame) -> DataFrame:
         if held:
             out = reduced()
             for at in range(0, len(out), 50_000):
-                yield pa.RecordBatch.from_pydict({c: pa.array(out[at : at + 50_000, i]) for i, c in enumerate(("a", "b", "shared", "sizes", "ends_first"))})
+                yield pa.RecordBatch.from_pydict({c: pa.array(out[at : at + 50_000, i]) for i, c in enumerate(("a", "b", "shared", "sizes", "after"))})
 
-    found = tokens.repartition("h").sortWithinPartitions("h").mapInArrow(pairs, "a long, b long, shared long, sizes long, ends_first long")
-    return found.groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.first("sizes").alias("sizes"), F.first("ends_first").alias("ends_first"))
+    found = tokens.repartition("h").sortWithinPartitions("h").mapInArrow(pairs, "a long, b long, shared long, sizes long, after long")
+    return found.groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.first("sizes").alias("sizes"), F.first("after").alias("after"))
 
 
 def candidates(counts: DataFrame) -> DataFrame:
     """The pairs whose overlap can reach what the similarity asks for."""
     needed = F.expr(f"({ENOUGH} * sizes + {OF + ENOUGH - 1}) div {OF + ENOUGH}")
-    after = F.expr(f"({ENOUGH} * ends_first + {OF - 1}) div {OF} - 1")  # what follows the prefix that ends first
-    return counts.where(F.col("shared") + after >= needed).select("a", "b")
+    return counts.where(F.col("shared") + F.col("after") >= needed).select("a", "b")
 
 
 def unpacked(words: bytes) -> np.ndarray:
@@ -323,12 +345,12 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     Links are between texts: rows that share a key may be in different components, and rows without one are compared
     like others.  A component_id is null only where no row of the component has a key.
     """
-    common = common_shingles(docs, text, common_over, most_common)
-    rows = stored(prepared(docs, key, text, common), "shingles")
+    common, lists = counted_shingles(docs, text, common_over, most_common)
+    rows = stored(prepared(docs, key, text, common, lists), "shingles")
     members = rows.where("n > 0").groupBy("d1", "d2").agg(F.min("id").alias("first"))
     pairs = checkpoint(candidates(shared_counts(rows)))
     wanted = pairs.select(F.col("a").alias("d1")).union(pairs.select("b")).distinct()
-    kept = rows.where("words is not null").select("d1", "d2", "n", "words", "hot")
+    kept = rows.where("words is not null").select("d1", "d2", "n", "words", (F.col("asked") == 0).alias("hot"))
     chosen = among(kept.where("not hot"), wanted, ["d1"])[0].join(wanted, "d1", "left_semi").unionByName(kept.where("hot"))
     classes = checkpoint(chosen.groupBy("d1", "d2").agg(F.first("words").alias("words"), F.first("hot").alias("hot"), F.first("n").alias("n")).select("d1", F.col("d1").alias("id"), "n", "words", "hot"))
     found = components(verified(pairs, classes).union(hot_links(classes))).withColumnRenamed("id", "d1")

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harrow.llm import ann, html_text, jaccard_join, mixing, quality, sentencepieces, substring_dedup, token_counts, topk, url_reputation
-from harrow.llm.common import checkpoint, small_batches, table
+from harrow.llm import ann, html_text, jaccard_join, mixing, oracles, quality, sentencepieces, substring_dedup, token_counts, topk, url_reputation
+from harrow.llm.common import checkpoint, shared_folder, small_batches, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -68,13 +69,15 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict on every page's url."""
-    return url_reputation.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES).select("page_id", "host", "path", "rule", "verdict", F.col("lower").alias("bad_rate_lower"))
+    return url_reputation.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Token count of every document."""
+    """Token count of every document.  The cache lasts, one for each folder of tables: a run over the same folder encodes
+    only texts that are new there."""
     small_batches(spark)
-    return token_counts.count_tokens(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path("byte_bpe_50k.json")).select("doc_id", "n_bytes", "n_tokens", "over_limit")
+    cache = f"{shared_folder(spark).rstrip('/')}/token-counts-{hashlib.md5(sf_dir.encode()).hexdigest()}"
+    return token_counts.count_tokens(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path("byte_bpe_50k.json"), cache).select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
 def op8_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -118,4 +121,10 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op5_jaccard_join": oracles.JACCARD_JOIN,
+        "op6_url_filter": oracles.url_filter([(r.verdict, r.host, r.path) for r in URL_RULES], url_reputation.KINDS),
+        "op8_exact_topk": oracles.EXACT_TOPK,
+        "op9_mixing": oracles.MIXING,
+        "op10_substring_dedup": oracles.SUBSTRING_DEDUP,
+    }
