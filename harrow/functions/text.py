@@ -5,7 +5,7 @@ from __future__ import annotations
 import html
 from collections.abc import Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -25,9 +25,9 @@ GROUPS = {"news": "뉴스", "press": "기후부 보도자료", "notice": "기후
 def unescape(text: Column) -> Column:
     """The text with its character references decoded."""
 
-    @F.pandas_udf("string")
-    def decode(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: t if t is None else html.unescape(t))
+    @F.arrow_udf("string")
+    def decode(texts: pa.Array) -> pa.Array:
+        return pa.array([None if t is None else html.unescape(t) for t in texts.to_pylist()], pa.string())
 
     return decode(text)
 
@@ -49,8 +49,9 @@ def clean_html(text: Column, limit: int = 260, *, entities: bool = True) -> Colu
 
 
 def html_attribute(tag: Column, name: str) -> Column:
-    """A quoted attribute's value; '' if there is none."""
-    return F.trim(F.regexp_extract(tag, rf"(?is)\b{name}\s*=\s*(['\"])(.*?)\1", 2))
+    """A quoted attribute's value with its character references decoded; '' if there is none."""
+    value = F.regexp_extract(tag, rf"(?is)\b{name}\s*=\s*(['\"])(.*?)\1", 2)
+    return F.trim(F.when(value.contains("&"), unescape(value)).otherwise(value))
 
 
 def normalized_title(title: Column) -> Column:
