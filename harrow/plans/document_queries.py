@@ -20,8 +20,8 @@ def excerpt_sql(text: str, words: str, limit: int = 260) -> str:
     return f"(CASE WHEN {start} > 0 THEN '…' ELSE '' END || trim(substring({text}, ({start} + 1)::BIGINT, {limit})) || CASE WHEN {start} + {limit} < length({text}) THEN '…' ELSE '' END)"
 
 
-MATCH = f"""WITH {P.DOCUMENTS}, m AS (SELECT *, id % 11 = 0 AS trusted, list_filter({WORDS}, lambda k: contains(lower(title || ' ' || left(summary, 60)), k)) AS head, list_filter({WORDS}, lambda k: contains(lower(text), k)) AS body FROM docs),
-k AS (SELECT id, trusted, title, text, left(summary, 60) AS summary, CASE WHEN trusted THEN [] ELSE head END AS head, CASE WHEN trusted OR len(head) > 0 THEN [] ELSE body END AS body FROM m WHERE trusted OR len(head) > 0 OR len(body) > 0)"""
+MATCH = f"""WITH {P.DOCUMENTS}, m AS (SELECT *, id % 11 = 0 AS trusted, list_filter({WORDS}, lambda k: contains(lower(title || ' ' || summary), k)) AS head, list_filter({WORDS}, lambda k: contains(lower(text), k)) AS body FROM docs),
+k AS (SELECT id, trusted, title, text, summary, CASE WHEN trusted THEN [] ELSE head END AS head, CASE WHEN trusted OR len(head) > 0 THEN [] ELSE body END AS body FROM m WHERE trusted OR len(head) > 0 OR len(body) > 0)"""
 
 
 def matched(spark, sf_dir):
@@ -50,7 +50,7 @@ def q_keyword_merge(spark, sf_dir):
     return D.merge_keywords(d.withColumn("seq", F.col("id") * 10 + order).drop("n")).select("url", F.col("id").alias("first_id"), F.array_join("matched_keywords", ",").alias("keywords"))
 
 
-@query(f"""WITH {P.DOCUMENTS}, m AS (SELECT *, lower(title || ' ' || left(summary, 40)) AS low, CASE WHEN id % 4 = 0 THEN ['THE', 'los'] ELSE [] END AS mk FROM docs)
+@query(f"""WITH {P.DOCUMENTS}, m AS (SELECT *, lower(title || ' ' || summary) AS low, CASE WHEN id % 4 = 0 THEN ['THE', 'los'] ELSE [] END AS mk FROM docs)
   SELECT id FROM m WHERE id % 17 = 0 OR len(list_filter(CASE WHEN source_type = 'news' THEN {NEWS_WORDS} ELSE {WORDS} END, lambda k: contains(low, k) OR list_contains(list_transform(mk, lambda x: lower(x)), k))) > 0""")
 def q_retention(spark, sf_dir):
     """Stored documents that today's keywords still allow."""
@@ -128,11 +128,11 @@ def q_bigrams(spark, sf_dir):
     return P.documents(spark, sf_dir).select("id", F.size(T.bigrams(T.normalized_title(F.concat(F.lit("[속보] "), "title", F.lit(" (종합) 경매"))))).cast("long").alias("bigrams"))
 
 
-@query("SELECT page_id, CASE WHEN length(c) <= 260 THEN c ELSE rtrim(left(c, 259)) || '…' END AS text FROM (SELECT page_id, trim(regexp_replace(regexp_replace(replace(replace(html, '&amp', ' and '), '&', ''), '<[^>]+>', ' ', 'g'), '\\s+', ' ', 'g')) AS c FROM pages)")
+@query("SELECT page_id, CASE WHEN length(c) <= 260 THEN c ELSE rtrim(left(c, 259)) || '…' END AS text FROM (SELECT page_id, trim(regexp_replace(regexp_replace(regexp_replace(replace(replace(replace(html, '&quot;', chr(34)), '&copy;', '©'), '&middot;', '·'), '&amp;?', '&', 'g'), '<[^>]+>', ' ', 'g'), '\\s+', ' ', 'g')) AS c FROM pages)")
 def q_clean_html(spark, sf_dir):
-    """Pages without tags, cut to 260 characters (their character references are replaced beforehand: SQL has no decoder)."""
-    html = F.replace(F.replace("html", F.lit("&amp"), F.lit(" and ")), F.lit("&"), F.lit(""))
-    return P.table(spark, sf_dir, "pages").select("page_id", T.clean_html(html).alias("text"))
+    """Pages with their character references decoded, without tags, cut to 260 characters.  The SQL decodes the references
+    that these pages have."""
+    return P.table(spark, sf_dir, "pages").select("page_id", T.clean_html(F.col("html")).alias("text"))
 
 
 @query(r"""SELECT page_id, trim(regexp_extract(html, '(?is)\bcharset\s*=\s*"(.*?)"', 1)) AS charset, trim(regexp_extract(html, '(?is)\blang\s*=\s*"(.*?)"', 1)) AS lang FROM pages""")
@@ -229,7 +229,7 @@ def q_policy_page(spark, sf_dir):
     return relational.page(P.documents(spark, sf_dir).where("section != 'news'"), 3, 5, [F.desc("published_at"), F.desc("title"), F.desc("id")]).select("id")
 
 
-NOTED = f"noted AS (SELECT * REPLACE (left(summary, 50) || CASE id % 9 WHEN 0 THEN ' 예비분 추가  공급' WHEN 1 THEN ' 매각 공고 K-MSR' WHEN 2 THEN ' 시장안정 검토' WHEN 3 THEN ' 할당' ELSE '' END AS summary) FROM docs)"
+NOTED = f"noted AS (SELECT * REPLACE (summary || CASE id % 9 WHEN 0 THEN ' 예비분 추가  공급' WHEN 1 THEN ' 매각 공고 K-MSR' WHEN 2 THEN ' 시장안정 검토' WHEN 3 THEN ' 할당' ELSE '' END AS summary) FROM docs)"
 
 
 def noted(spark, sf_dir):
@@ -247,7 +247,7 @@ def q_stabilization_flag(spark, sf_dir):
     return noted(spark, sf_dir).select("id", D.stabilization(F.col("title"), F.col("summary")).alias("stabilization"))
 
 
-@query(f"""WITH {P.DOCUMENTS}, {NOTED}, o AS (SELECT * FROM noted WHERE source_type <> 'news' AND id % 9 > 1 ORDER BY published_at DESC, title DESC, id DESC LIMIT 10)
+@query(f"""WITH {P.DOCUMENTS}, {NOTED}, o AS (SELECT * FROM noted WHERE source_type <> 'news' ORDER BY published_at DESC, title DESC, id DESC LIMIT 10)
   SELECT CASE WHEN count(*) = 0 THEN '{D.INSIGHTS['none']}' WHEN bool_or({NEAR}) THEN '{D.INSIGHTS['stabilization']}' WHEN bool_or(regexp_matches(title || ' ' || summary, '{D.AUCTION_WORDS}')) THEN '{D.INSIGHTS['auction']}'
   WHEN bool_or(regexp_matches(title || ' ' || summary, '{D.ALLOCATION_WORDS}')) THEN '{D.INSIGHTS['allocation']}' WHEN bool_or(regexp_matches(title || ' ' || summary, '{D.OFFSET_WORDS}')) THEN '{D.INSIGHTS['offset']}' ELSE '{D.INSIGHTS['other']}' END AS summary,
   count(*) AS basis_count, max(published_at) AS basis_latest_date FROM o""")
@@ -256,7 +256,7 @@ def q_policy_insight(spark, sf_dir):
     return D.insight(noted(spark, sf_dir))
 
 
-@query(f"""WITH {P.DOCUMENTS}, {NOTED}, o AS (SELECT * FROM noted WHERE source_type <> 'news' AND id % 9 > 2 ORDER BY published_at DESC, title DESC, id DESC LIMIT 10)
+@query(f"""WITH {P.DOCUMENTS}, {NOTED}, o AS (SELECT * FROM noted WHERE source_type <> 'news' ORDER BY published_at DESC, title DESC, id DESC LIMIT 10)
   SELECT CASE WHEN count(*) = 0 THEN '{D.INSIGHTS['none']}' WHEN bool_or({NEAR}) THEN '{D.PAGE_STABILIZATION}' WHEN bool_or(regexp_matches(title || ' ' || summary, '{D.LOOSE_AUCTION_WORDS}')) THEN '{D.INSIGHTS['auction']}'
   WHEN bool_or(regexp_matches(title || ' ' || summary, '{D.ALLOCATION_WORDS}')) THEN '{D.INSIGHTS['allocation']}' WHEN bool_or(regexp_matches(title || ' ' || summary, '{D.OFFSET_WORDS}')) THEN '{D.INSIGHTS['offset']}' ELSE '{D.INSIGHTS['other']}' END AS summary,
   count(*) AS basis_count, max(published_at) AS basis_latest_date FROM o""")
@@ -313,7 +313,7 @@ def q_briefing_split(spark, sf_dir):
     return B.normalize(P.briefings(spark, sf_dir)).select("date", overview.alias("overview"), details.alias("details"))
 
 
-@query("SELECT page_id, replace(replace(replace(replace(replace(left(html, 400), '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;'), chr(39), '&#39;') AS text FROM pages")
+@query("SELECT page_id, replace(replace(replace(replace(replace(html, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;'), chr(39), '&#39;') AS text FROM pages")
 def q_escape_html(spark, sf_dir):
     """Page sources as text for HTML."""
     return P.table(spark, sf_dir, "pages").select("page_id", T.escape_html(F.col("html")).alias("text"))

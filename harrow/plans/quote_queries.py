@@ -183,7 +183,7 @@ def q_last_wins(spark, sf_dir):
     return last_wins(o, ["date", "symbol"], [F.col("seq")]).drop("seq")
 
 
-@query(f"""WITH {P.QUOTES}, l AS (SELECT l_shipdate::DATE AS date, o_orderpriority AS symbol, l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_orderkey % 16 = 0)
+@query(f"""WITH {P.QUOTES}, l AS (SELECT l_shipdate::DATE AS date, o_orderpriority AS symbol, l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
   SELECT l.date, l.symbol, l_orderkey, l_linenumber, l_partkey, l_suppkey, q.close AS previous_close FROM l ASOF LEFT JOIN quotes q ON l.symbol = q.symbol AND l.date > q.date""")
 def q_prev_close_asof(spark, sf_dir):
     """The last close of the symbol before each shipping day."""
@@ -206,8 +206,8 @@ def q_semi_monthly_ticks(spark, sf_dir):
     return Q.semi_monthly_ticks(spans, F.col("a"), F.col("b")).select("symbol", "tick", "label")
 
 
-@query(f"""WITH {P.QUOTES}, q AS (SELECT symbol, date, row_number() OVER (PARTITION BY symbol ORDER BY date) - 1 AS i FROM quotes WHERE month(date) = 5),
-  d AS (SELECT DISTINCT symbol, date + 3 AS day FROM quotes WHERE day(date) = 11),
+@query(f"""WITH {P.QUOTES}, q AS (SELECT symbol, date, row_number() OVER (PARTITION BY symbol ORDER BY date) - 1 AS i FROM quotes),
+  d AS (SELECT DISTINCT symbol, date + 3 AS day FROM quotes),
   j AS (SELECT d.symbol, d.day, l.date AS ld, l.i AS li, r.date AS rd, r.i AS ri FROM d ASOF LEFT JOIN q l ON d.symbol = l.symbol AND d.day >= l.date ASOF LEFT JOIN q r ON d.symbol = r.symbol AND d.day <= r.date)
   SELECT symbol, day, CASE WHEN ld IS NULL THEN ri::DOUBLE WHEN rd IS NULL THEN li::DOUBLE ELSE li::DOUBLE + (ri::DOUBLE - li::DOUBLE) * (day - ld)::DOUBLE / greatest((rd - ld)::DOUBLE, 1.0) END AS place FROM j""")
 def q_date_axis(spark, sf_dir):

@@ -21,7 +21,7 @@ def q_feed_date(spark, sf_dir):
     return P.table(spark, sf_dir, "events").select("event_id", parsing.feed_date(text, F.lit("2024-01-01")).alias("date"))
 
 
-@query(f"""WITH {P.DOCUMENTS}, t AS (SELECT id, trim(regexp_replace(regexp_replace(replace(title, '|', ''), '<[^>]+>', ' ', 'g'), '\\s+', ' ', 'g')) AS title, published_at AS d FROM docs WHERE id % 5 = 0)
+@query(f"""WITH {P.DOCUMENTS}, t AS (SELECT id, trim(regexp_replace(regexp_replace(replace(title, '|', ''), '<[^>]+>', ' ', 'g'), '\\s+', ' ', 'g')) AS title, published_at AS d FROM docs)
   SELECT 'https://x.example/a?id=' || id || '&b=1' AS url, d AS published_at, CASE WHEN length(title) <= 180 THEN title ELSE rtrim(left(title, 179)) || '…' END AS title, left(sha1('https://x.example/a?id=' || id || '&b=1'), 16) AS id FROM t""")
 def q_rss_items(spark, sf_dir):
     """Documents out of feeds whose links hold bare ampersands and session ids."""
@@ -36,7 +36,7 @@ def q_rss_items(spark, sf_dir):
     return docs.select("url", "published_at", "title", "id")
 
 
-@query("""WITH l AS (SELECT turn, conv_id, trim(left(text, 40)) AS line FROM conversations WHERE conv_id < 20), w AS (SELECT unnest(str_split_regex(line, '[,;\\t]')) AS word FROM l WHERE line <> '' AND NOT starts_with(line, '#'))
+@query("""WITH l AS (SELECT turn, conv_id, trim(text) AS line FROM conversations), w AS (SELECT unnest(str_split_regex(line, '[,;\\t]')) AS word FROM l WHERE line <> '' AND NOT starts_with(line, '#'))
   SELECT trim(word) AS keyword FROM w WHERE trim(word) <> '' GROUP BY 1""")
 def q_keyword_lines(spark, sf_dir):
     """Distinct keywords of text lines."""
@@ -60,16 +60,10 @@ def q_fallback_quote(spark, sf_dir):
 @query("SELECT ts::DATE AS date, event_type AS symbol, last(value ORDER BY ts, event_id) AS close FROM events GROUP BY ALL")
 def q_stream_upsert(spark, sf_dir):
     """A stream of events put into a table by day and type: the last value of each key."""
-    import uuid
-
+    from harrow.shared import new_path
     from harrow.streaming import upserts
 
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not root:
-        import tempfile
-
-        root = tempfile.mkdtemp(prefix="harrow-")
-    root = f"{root.rstrip('/')}/stream-{uuid.uuid4().hex}"
+    root = new_path(spark, "stream")
     path = f"{sf_dir}/events.parquet"
     rows = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path.replace("events.parquet", "events.parque[t]"))
     keyed = rows.select(F.to_date("ts").alias("date"), F.col("event_type").alias("symbol"), F.col("value").alias("close"), F.struct("ts", "event_id").alias("seq"))

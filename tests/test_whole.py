@@ -1,38 +1,4 @@
-"""Queries that work on all rows and whole texts, against their SQL without its cuts."""
-
-import compare
-import pytest
-from conftest import DATA
-from harrow.plans.catalog import ORACLES, QUERIES
-
-SMALL = f"{DATA}/sf0.001"
-
-#: What the SQL of each query leaves out, and what stands there when nothing is.
-CUTS = {
-    "q_prev_close_asof": {" WHERE l_orderkey % 16 = 0": ""},
-    "q_date_axis": {" WHERE month(date) = 5": "", " WHERE day(date) = 11": ""},
-    "q_rss_items": {" WHERE id % 5 = 0": ""},
-    "q_keyword_lines": {"left(text, 40)": "text", " WHERE conv_id < 20": ""},
-    "q_escape_html": {"left(html, 400)": "html"},
-    "q_retention": {"left(summary, 40)": "summary"},
-    "q_stabilization_flag": {"left(summary, 50)": "summary"},
-    "q_policy_insight": {"left(summary, 50)": "summary", " AND id % 9 > 1": ""},
-    "q_page_insight": {"left(summary, 50)": "summary", " AND id % 9 > 2": ""},
-    "q_keyword_match": {"left(summary, 60)": "summary"},
-    "q_keyword_excerpt": {"left(summary, 60)": "summary"},
-}
-
-
-def whole_sql(name):
-    sql = ORACLES[name]
-    for cut, whole in CUTS[name].items():
-        sql = sql.replace(cut, whole)
-    return sql
-
-
-@pytest.mark.parametrize("name", sorted(CUTS))
-def test_query_equals_whole_sql(spark, name):
-    assert compare.of_spark(QUERIES[name](spark, SMALL)) == compare.of_sql(compare.connect(SMALL), whole_sql(name))
+"""Rules that the whole tables reach only in part: comment lines, and each insight."""
 
 
 def test_keywords_of_comment_lines_that_share_a_number(spark):
