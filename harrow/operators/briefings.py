@@ -14,8 +14,11 @@ OUTLOOK, OUTLOOK_PATTERN = "향후 1주 판단", r"향후\s*1주\s*판단"
 DETAILS = ("기간별 가격", "수급·가격 심층 분석", "정책 분석", "전력·연료 연계", "상방 요인 심층 분석", "하방 요인 심층 분석", "체크 이슈 포인트")
 
 
-def normalize(payloads: DataFrame) -> DataFrame:
-    """Briefings from rows that may use any of the names for date, content and tone; without date or content they go."""
+def normalize(payloads: DataFrame, *, required: bool = False) -> DataFrame:
+    """Briefings from rows that may use any of the names for date, content and tone.
+
+    Rows without date or content go; with ``required``, as where briefings are published, one such row fails the job.
+    """
     have = set(payloads.columns)
 
     def first_of(*names: str, default: str = "") -> Column:
@@ -25,7 +28,10 @@ def normalize(payloads: DataFrame) -> DataFrame:
         first_of("date", "briefingDate").alias("date"), first_of("title", default=TITLE).alias("title"), first_of("summary").alias("summary"), first_of("content", "message").alias("content"),
         first_of("marketTone", "market_tone", default=TONE).alias("market_tone"), first_of("outlook").alias("outlook"), first_of("source", default=SOURCE).alias("source"),
     )
-    return out.where((F.col("date") != "") & (F.col("content") != ""))
+    complete = (F.col("date") != "") & (F.col("content") != "")
+    if required:
+        out = out.withColumn("date", F.when(complete, F.col("date")).otherwise(F.raise_error(F.lit("a briefing needs date and content")).cast("string")))
+    return out.where(complete)
 
 
 def publish(stored: DataFrame, new: DataFrame, most: int = 60) -> DataFrame:

@@ -14,8 +14,8 @@ import urllib.parse
 import urllib.request
 from collections.abc import Callable, Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, InputPartition
 
@@ -32,18 +32,46 @@ def retried(call: Callable[[], str], attempts: int = 3, wait: Callable[[float],
     raise ValueError("no attempts")
 
 
+def encoded(text: bytes, headers, errors: str = "replace") -> str:
+    """The text in the charset that its headers declare."""
+    try:
+        return text.decode(headers.get_content_charset() or "utf-8", errors)
+    except LookupError:  # a charset that Python doesn't know
+        return text.decode("utf-8", errors)
+
+
 def get(url: str, params: dict[str, str], timeout: float) -> str:
     """A GET request's text; '' where the server has nothing (400, 404)."""
     request = urllib.request.Request(f"{url}?{urllib.parse.urlencode(params)}" if params else url, headers={"Accept": "application/json, application/xml, text/html"})
     try:
         with urllib.request.urlopen(request, timeout=timeout) as response:
-            return response.read().decode(response.headers.get_content_charset() or "utf-8", errors="replace")
+            return encoded(response.read(), response.headers)
     except urllib.error.HTTPError as e:
         if e.code in (400, 404):
             return ""
         raise
 
 
+def post(url: str, params: dict[str, str], timeout: float) -> str:
+    """The text that answers a posted form."""
+    request = urllib.request.Request(url, data=urllib.parse.urlencode(params).encode(), headers={"Accept": "application/json", "Content-Type": "application/x-www-form-urlencoded; charset=UTF-8"})
+    with urllib.request.urlopen(request, timeout=timeout) as response:
+        return encoded(response.read(), response.headers)
+
+
+#: Bytes of a page that are read at most.
+PAGE_BYTES = 2_000_000
+
+
+def get_page(url: str, params: dict[str, str], timeout: float) -> str:
+    """The first PAGE_BYTES bytes of an HTML page; '' for content of another type."""
+    request = urllib.request.Request(f"{url}?{urllib.parse.urlencode(params)}" if params else url, headers={"Accept": "text/html,application/xhtml+xml"})
+    with urllib.request.urlopen(request, timeout=timeout) as response:
+        if "html" not in (response.headers.get_content_type() or "").lower():
+            return ""
+        return encoded(response.read(PAGE_BYTES), response.headers)
+
+
 def rows_of(payload: str, envelope: str) -> list[dict]:
     """The list of objects under a name in a JSON payload; a list of anything else is an error."""
     if not payload.strip():
@@ -73,32 +101,50 @@ def host_variants(url: str) -> list[str]:
     return [url, urllib.parse.urlunsplit(parts._replace(netloc=other))]
 
 
-def with_pages(docs: DataFrame, url: str, page: str, *, fetch: str = "harrow.sources.http:get", most_bytes: int = 2_000_000, timeout: float = 6.0) -> DataFrame:
+def named(path: str) -> Callable[..., str]:
+    """The function under ``module:name``."""
+    module, _, name = path.partition(":")
+    return getattr(importlib.import_module(module), name)
+
+
+def with_pages(docs: DataFrame, url: str, page: str, *, fetch: str = "harrow.sources.http:get_page", timeout: float = 6.0) -> DataFrame:
     """Documents with the pages behind their urls, '' where none can be had.  Call it with the rows that need it alone:
     each is a request, and requests are made again when a task is."""
 
-    @F.pandas_udf("string")
-    def pages(urls: pd.Series) -> pd.Series:
-        module, _, name = fetch.partition(":")
-        call = getattr(importlib.import_module(module), name)
+    @F.arrow_udf("string")
+    def pages(urls: pa.Array) -> pa.Array:
+        call = named(fetch)
 
         def one(u: str | None) -> str:
             if not (u or "").lower().startswith(("http://", "https://")):
                 return ""
             try:
-                return call(u, {}, timeout)[:most_bytes]
+                return call(u, {}, timeout)
             except OSError:
                 return ""
 
-        return urls.map(one)
+        return pa.array([one(u) for u in urls.to_pylist()], pa.string())
 
     return docs.withColumn(page, pages(F.col(url)))
 
 
-class DayPartition(InputPartition):
-    def __init__(self, day: str):
-        super().__init__(day)
-        self.day = day
+class Slice(InputPartition):
+    """One request: what it is called, and its parameters."""
+
+    def __init__(self, name: str, params: dict[str, str]):
+        super().__init__(name)
+        self.name, self.params = name, params
+
+
+def day_slices(first: dt.date, last: dt.date) -> list[Slice]:
+    days = [first + dt.timedelta(n) for n in range((last - first).days + 1)]
+    return [Slice(d.isoformat(), {"basDd": d.strftime("%Y%m%d")}) for d in days]
+
+
+def year_slices(first: dt.date, last: dt.date) -> list[Slice]:
+    """A request for each calendar year of the range, as grids of long ranges are asked for."""
+    spans = [(max(first, dt.date(y, 1, 1)), min(last, dt.date(y, 12, 31))) for y in range(first.year, last.year + 1)]
+    return [Slice(a.isoformat(), {"fromDate": a.strftime("%Y%m%d"), "toDate": b.strftime("%Y%m%d")}) for a, b in spans]
 
 
 class ApiReader(DataSourceReader):
@@ -114,19 +160,23 @@ class ApiReader(DataSourceReader):
 
     def partitions(self):
         first, last = (dt.date.fromisoformat(self.options[k]) for k in ("from", "to"))
-        return [DayPartition((first + dt.timedelta(n)).isoformat()) for n in range((last - first).days + 1)]
+        return (year_slices if self.options.get("by") == "year" else day_slices)(first, last)
 
     def read(self, partition) -> Iterator[tuple]:
-        module, _, name = self.options.get("fetch", "harrow.sources.http:get").partition(":")
-        fetch = getattr(importlib.import_module(module), name)
-        params = {"basDd": partition.day.replace("-", "")} | ({"symbol": self.symbol} if self.symbol else {})
+        fetch = named(self.options.get("fetch", "harrow.sources.http:get"))
+        extra = json.loads(self.options.get("params", "{}"))
+        params = extra | partition.params | ({"symbol": self.symbol} if self.symbol else {})
         payload = retried(lambda: fetch(self.options["url"], params, float(self.options.get("timeout", 30))))
         for row in rows_of(payload, self.options.get("envelope", "items")):
-            yield (partition.day, *(None if row.get(c) is None else str(row[c]) for c in self.columns[1:]))
+            yield (partition.name, *(None if row.get(c) is None else str(row[c]) for c in self.columns[1:]))
 
 
 class ApiSource(DataSource):
-    """``spark.read.format("harrow_api")``: text columns named in ``columns``, and the ``day`` they were asked for."""
+    """``spark.read.format("harrow_api")``: text columns named in ``columns``, and the ``day`` they were asked for.
+
+    Options: url, from, to, columns; ``by`` (day, or year for grids over a range: the day is then the slice's first),
+    ``envelope`` (the list's name), ``params`` (more parameters, as JSON), ``fetch`` (``harrow.sources.http:post`` for forms).
+    """
 
     @classmethod
     def name(cls) -> str:
@@ -140,3 +190,55 @@ class ApiSource(DataSource):
 
     def reader(self, schema) -> ApiReader:
         return ApiReader(dict(self.options), self._columns())
+
+
+def register(spark: SparkSession) -> None:
+    """Makes the sources known to the session, and lets filters be pushed into them."""
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    spark.dataSource.register(ApiSource)
+    spark.dataSource.register(FeedSource)
+
+
+class FeedReader(DataSourceReader):
+    """One request a keyword, which goes into the query string with the limit; each is tried at all of the host's variants."""
+
+    def __init__(self, options: dict):
+        self.options = options
+
+    def partitions(self):
+        keywords, most = json.loads(self.options.get("keywords", "[]")), int(self.options.get("most", 60))
+        if self.options.get("search") == "news":  # all keywords in one request
+            days = int(self.options.get("days", 30))
+            return [Slice("", {"q": news_query(keywords, days), "hl": "ko", "gl": "KR", "ceid": "KR:ko"})]
+        return [Slice(k, search_params(k, most)) for k in keywords] or [Slice("", {})]
+
+    def read(self, partition) -> Iterator[tuple]:
+        fetch, failed = named(self.options.get("fetch", "harrow.sources.http:get")), []
+        for url in host_variants(self.options["url"]):
+            try:
+                xml = retried(lambda: fetch(url, partition.params, float(self.options.get("timeout", 12))), attempts=int(self.options.get("attempts", 1)))  # noqa: B023
+            except OSError as e:
+                failed.append(f"{url}: {e}")
+                continue
+            if xml.strip():
+                yield (partition.name, xml, None)
+                return
+        yield (partition.name, None, " | ".join(failed) or "nothing there")
+
+
+class FeedSource(DataSource):
+    """``spark.read.format("harrow_feed")``: keyword, xml, error: the feed that answers each keyword's search, or why none does.
+
+    Options: url; keywords (JSON list; without any, the whole feed); most (items a search); search=news with days (one
+    request for all keywords of the last days); fetch, timeout, attempts.
+    """
+
+    @classmethod
+    def name(cls) -> str:
+        return "harrow_feed"
+
+    def schema(self) -> str:
+        return "keyword string, xml string, error string"
+
+    def reader(self, schema) -> FeedReader:
+        return FeedReader(dict(self.options))

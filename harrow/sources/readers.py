@@ -120,8 +120,12 @@ def keywords_of(lines: DataFrame) -> DataFrame:
     return words.where("keyword != ''").groupBy("keyword").agg(F.min("at").alias("at")).select("keyword", (F.col("at.seq") * 10000 + F.col("at.pos")).alias("seq"))
 
 
-def read_keywords(spark: SparkSession, path: str) -> list[str]:
-    """The keywords of a small file, in order; for use as literals in filters."""
+def read_keywords(spark: SparkSession, path: str, root: str | None = None) -> list[str]:
+    """The keywords of a small file, in order; for use as literals in filters.  With a ``root``, the path is one below it."""
+    if root is not None:
+        if path.startswith("/") or ".." in path.split("/") or "://" in path:
+            raise ValueError(f"{path} is not below {root}")
+        path = f"{root.rstrip('/')}/{path}"
     lines = spark.read.text(path).withColumn("seq", F.monotonically_increasing_id())
     return [r["keyword"] for r in keywords_of(lines).orderBy("seq").collect()]
 
@@ -141,20 +145,22 @@ def feed_items(files: DataFrame, xml: str) -> DataFrame:
         raw = F.regexp_extract("item", rf"(?is)<(?:[\w.-]+:)?{name}\b[^>]*>(.*?)</(?:[\w.-]+:)?{name}\s*>", 1)
         return F.trim(X.unescape(F.regexp_replace(raw, r"(?s)<!\[CDATA\[(.*?)\]\]>", "$1"))).alias(name)
 
-    return files.select(F.posexplode(items).alias("seq", "item")).select("seq", *(child(n) for n in ("title", "description", "link", "pubDate", "date", "source")))
+    kept = ["keyword"] if "keyword" in files.columns else []
+    return files.select(*kept, F.posexplode(items).alias("seq", "item")).select(*kept, "seq", *(child(n) for n in ("title", "description", "link", "pubDate", "date", "source")))
 
 
-def feed_documents(items: DataFrame, *, source: str, source_type: str, section: str, keyword: str, as_of: str) -> DataFrame:
-    """Documents from a feed's items.  Items found by a keyword search (``keyword``) are trusted."""
+def feed_documents(items: DataFrame, *, source: str, source_type: str, section: str, keyword: str | Column, as_of: str) -> DataFrame:
+    """Documents from a feed's items.  Items found by a keyword search (``keyword``: the same of all, or a column) are trusted."""
+    words = F.lit(keyword) if isinstance(keyword, str) else F.coalesce(keyword, F.lit(""))
     title = X.clean_html(F.col("title"), 180)
     if source_type == "news":
         title = X.without_outlet(title)
     url, published = X.without_session(F.col("link")), parsing.feed_date(F.coalesce(F.nullif("pubDate", F.lit("")), F.col("date")), F.lit(as_of))
-    rows = items.select("seq", url.alias("url"), published.alias("published_at"), title.alias("title"), X.clean_html(F.col("description"), 2000).alias("summary"), (F.coalesce(F.nullif("source", F.lit("")), F.lit(source)) if source_type == "news" else F.lit(source)).alias("source"))
+    rows = items.select("seq", words.alias("keyword"), url.alias("url"), published.alias("published_at"), title.alias("title"), X.clean_html(F.col("description"), 2000).alias("summary"), (F.coalesce(F.nullif("source", F.lit("")), F.lit(source)) if source_type == "news" else F.lit(source)).alias("source"))
     return rows.withColumns({
         "id": X.stable_id(F.col("url"), F.col("published_at"), F.col("title")),
         "category": X.category(F.lower(F.concat_ws(" ", "title", "summary"))),
-        "source_type": F.lit(source_type), "section": F.lit(section), "keyword": F.lit(keyword), "trusted": F.lit(bool(keyword)),
+        "source_type": F.lit(source_type), "section": F.lit(section), "trusted": F.col("keyword") != "",
     })
 
 

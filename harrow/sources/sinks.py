@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import json
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from harrow.sources.readers import Settings
+
 
 def write_quotes(quotes: DataFrame, path: str) -> None:
     """The quotes table in Parquet, by symbol; for export, ``write_quotes_csv``."""
@@ -12,8 +16,10 @@ def write_quotes(quotes: DataFrame, path: str) -> None:
 
 
 def write_quotes_csv(quotes: DataFrame, path: str) -> None:
-    """One CSV file in the order of date and symbol: an export for people, who open it as a whole."""
-    quotes.orderBy("date", "symbol").coalesce(1).write.mode("overwrite").csv(path, header=True)
+    """One CSV file in the order of date and symbol, with a byte order mark: an export for people, who open it as a whole."""
+    first, *rest = quotes.columns
+    named = quotes.withColumnRenamed(first, f"\ufeff{first}")
+    named.repartition(1).sortWithinPartitions(*(f"\ufeff{c}" if c == first else c for c in ("date", "symbol"))).write.mode("overwrite").csv(path, header=True)
 
 
 def document(items: DataFrame, order: list[Column], **fields: Column) -> DataFrame:
@@ -29,5 +35,11 @@ def _whole(order: list[Column]):
     return Window.partitionBy(F.lit(1)).orderBy(*order)
 
 
+def write_settings(spark: SparkSession, settings: Settings, path: str) -> None:
+    """Collection settings as one JSON document, under the names by which they are read."""
+    fields = {"policyKeywords": list(settings.keywords), "policyLookbackDays": settings.lookback_days, "maxPolicyItems": settings.limit, "maxNewsItems": settings.news_limit}
+    spark.createDataFrame([(json.dumps(fields, ensure_ascii=False),)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+
 def write_document(items: DataFrame, path: str, order: list[Column], **fields: Column) -> None:
     document(items, order, **fields).write.mode("overwrite").text(path)

@@ -141,3 +141,146 @@ def test_some_sources_may_fail(spark):
     assert frame.count() == 1 and warning == "b: down"
     with pytest.raises(RuntimeError):
         upserts.union_of_available({"b": bad}, columns="x long", spark=spark)
+
+
+# --- sources of feeds, grids and pages, without a network
+
+RSS = "<rss><channel>{}</channel></rss>"
+ITEM = "<item><title>{}</title><link>https://x.example/{}</link><pubDate>Wed, 19 Aug 2026 0{}:00:00 +0000</pubDate><description>d</description></item>"
+
+
+def search_feed(url, params, timeout):
+    """Answers at the bare host only; each keyword finds its own documents, two of them share one."""
+    if "www." not in url:
+        raise OSError("no route")
+    found = {"coal": [("Coal and gas", "a", 1), ("Coal", "b", 2)], "gas": [("Coal and gas", "a", 1)], "none": []}
+    assert params["maxPageItems"] == "7" and params["searchKey"] == "titleOrContent"
+    return RSS.format("".join(ITEM.format(*x) for x in found[params["searchValue"]]))
+
+
+def quiet_feed(url, params, timeout):
+    """Searches find nothing; the whole feed has two documents."""
+    return RSS.format("" if params else ITEM.format("On coal", "c", 3) + ITEM.format("On wind", "d", 4))
+
+
+def news_feed(url, params, timeout):
+    assert params["q"] == '("coal" OR "gas") when:3d'
+    return RSS.format("".join(ITEM.format(f"n{i} - Outlet", f"n{i}", 1) for i in range(100)))
+
+
+def down(url, params, timeout):
+    raise OSError("down")
+
+
+def test_feed_searches_are_merged(spark):
+    from harrow.sources import collection
+
+    docs, warning = collection.collect_feed(spark, "https://a.example/rss", ["coal", "gas", "none"], source="S", as_of="2024-01-01", most=7, fetch="test_sources:search_feed")
+    assert warning is None and {r["title"]: r["matched_keywords"] for r in docs.collect()} == {"Coal and gas": ["coal", "gas"], "Coal": ["coal"]}
+
+
+def test_the_whole_feed_stands_in(spark):
+    from harrow.sources import collection
+
+    docs, warning = collection.collect_feed(spark, "https://a.example/rss", ["coal"], source="S", as_of="2024-01-01", fetch="test_sources:quiet_feed")
+    assert warning is None and [(r["title"], r["matched_keywords"]) for r in docs.collect()] == [("On coal", ["coal"])]
+    docs, warning = collection.collect_feed(spark, "https://a.example/rss", ["coal"], source="S", as_of="2024-01-01", fetch="test_sources:down")
+    assert docs.count() == 0 and "https://a.example/rss: down" in warning and "https://www.a.example/rss: down" in warning
+
+
+def test_news_search(spark):
+    from harrow.sources import collection
+
+    docs, warning = collection.collect_news(spark, "https://n.example/rss", ["coal", "gas"], days=3, as_of="2024-01-01", fetch="test_sources:news_feed")
+    assert warning is None and [r["title"] for r in docs.collect()] == [f"n{i}" for i in range(80)] and docs.where("not trusted").count() == 0
+
+
+def fetch_years(url, params, timeout):
+    return json.dumps({"DS1": [{"symbol": f"{params['fromDate']}-{params['toDate']}", "close": params["code"]}]})
+
+
+def test_grids_are_read_by_year(spark):
+    http.register(spark)
+    options = {"from": "2023-11-05", "to": "2025-02-03", "by": "year", "envelope": "DS1", "params": '{"code": "7"}', "url": "http://x", "columns": "symbol,close", "fetch": "test_sources:fetch_years"}
+    rows = spark.read.format("harrow_api").options(**options).load()
+    assert sorted(tuple(r) for r in rows.collect()) == [("2023-11-05", "20231105-20231231", "7"), ("2024-01-01", "20240101-20241231", "7"), ("2025-01-01", "20250101-20250203", "7")]
+
+
+@pytest.fixture
+def server():
+    import threading
+    from http.server import BaseHTTPRequestHandler, HTTPServer
+
+    class Handler(BaseHTTPRequestHandler):
+        def do_GET(self):
+            kind = {"/html": "text/html; charset=euc-kr", "/pdf": "application/pdf"}.get(self.path, "text/html; charset=utf-8")
+            self.send_response(200)
+            self.send_header("Content-Type", kind)
+            self.end_headers()
+            self.wfile.write("가".encode("euc-kr") if self.path == "/html" else "é".encode() * 1_500_000)
+
+        def do_POST(self):
+            body = self.rfile.read(int(self.headers["Content-Length"]))
+            self.send_response(200)
+            self.end_headers()
+            self.wfile.write(body)
+
+        def log_message(self, *_):
+            pass
+
+    s = HTTPServer(("127.0.0.1", 0), Handler)
+    threading.Thread(target=s.serve_forever, daemon=True).start()
+    yield f"http://127.0.0.1:{s.server_port}"
+    s.shutdown()
+
+
+def test_pages_forms_and_their_limits(server):
+    assert http.get_page(f"{server}/html", {}, 5) == "가"
+    assert http.get_page(f"{server}/pdf", {}, 5) == ""
+    assert len(http.get_page(f"{server}/long", {}, 5)) == http.PAGE_BYTES // 2  # bytes, not characters
+    assert http.post(server, {"a": "ü", "b": "1 2"}, 5) == "a=%C3%BC&b=1+2"
+
+
+def test_unreachable_sources_fail_when_read(spark):
+    lazy = lambda: spark.createDataFrame([(0,)], "x long").selectExpr("if(x = 0, raise_error('unreachable'), x) as x").selectExpr("cast(x as long) as x")
+    frame, warning = upserts.union_of_available({"a": lambda: spark.range(2).select(F.col("id").alias("x")), "b": lazy}, columns="x long", spark=spark)
+    assert frame.count() == 2 and warning.startswith("b: ") and "unreachable" in warning
+
+
+def test_only_touched_partitions_are_rewritten(spark, tmp_path):
+    table, schema = str(tmp_path / "t"), "date string, symbol string, close double, seq int"
+    batch = lambda rows: spark.createDataFrame(rows, schema)
+    upserts.put(batch([("2024-01-01", "A", 1.0, 1), ("2024-01-02", "A", 2.0, 1), (None, "A", 5.0, 1)]), 0, table, ["date", "symbol"], "seq")
+    for n in range(1, 4):
+        upserts.put(batch([("2024-01-02", "B", float(n), n + 1)]), n, table, ["date", "symbol"], "seq")
+        upserts.put(batch([("2024-01-02", "B", float(n), n + 1)]), n, table, ["date", "symbol"], "seq")  # a replay
+    held = upserts.partitions(spark, table)
+    assert held["_part=2024-01-01"] == [1] == held["_part=none"] and held["_part=2024-01-02"] == [3, 4]
+    assert sorted(((r["date"] or "", r["symbol"], r["close"]) for r in upserts.current(spark, table).collect())) == [("", "A", 5.0), ("2024-01-01", "A", 1.0), ("2024-01-02", "A", 2.0), ("2024-01-02", "B", 3.0)]
+
+
+def test_exports(spark, tmp_path):
+    rows = spark.createDataFrame([("2024-01-02", "B", 1.0), ("2024-01-01", "A", 2.0)], "date string, symbol string, close double")
+    sinks.write_quotes_csv(rows, str(tmp_path / "csv"))
+    (part,) = (tmp_path / "csv").glob("part-*")
+    assert part.read_bytes().decode("utf-8") == "﻿date,symbol,close\n2024-01-01,A,2.0\n2024-01-02,B,1.0\n"
+    settings = readers.Settings(("a", "ü"), 10, 50, 20)
+    sinks.write_settings(spark, settings, str(tmp_path / "s"))
+    assert readers.read_settings(spark, str(tmp_path / "s")) == settings
+
+
+def test_keyword_paths_stay_below_their_root(spark, tmp_path):
+    (tmp_path / "k.txt").write_text("a, b\n")
+    assert readers.read_keywords(spark, "k.txt", root=str(tmp_path)) == ["a", "b"]
+    for path in ("../k.txt", "/etc/hosts", "file:///etc/hosts"):
+        with pytest.raises(ValueError):
+            readers.read_keywords(spark, path, root=str(tmp_path))
+
+
+def test_incomplete_briefings_fail_where_required(spark):
+    from harrow.operators import briefings
+
+    rows = spark.createDataFrame([("2024-01-01", "x"), ("2024-01-02", "")], "date string, content string")
+    assert briefings.normalize(rows).count() == 1
+    with pytest.raises(Exception, match="a briefing needs date and content"):
+        briefings.normalize(rows, required=True).collect()
