@@ -53,7 +53,7 @@ class MergeEncoder:
         whole = {p for p in self.ids if self.merged(p) == [p]}  # others can't come out of merging
         for p in sorted(whole, key=self.ids.get):  # a node's children are searched in this order: common ones first
             if len(p) > 1:  # every known character is a piece; without those the automaton's root stays small
-                self.automaton.add_word(p, p)
+                self.automaton.add_word(p, (len(p) - 1, p))
         self.automaton.make_automaton()
         # The longest piece that begins a piece: what is tried when that piece doesn't fit.
         self.shorter = {p: next((p[:k] for k in range(len(p) - 1, 0, -1) if p[:k] in whole), None) for p in whole}
@@ -88,27 +88,34 @@ class MergeEncoder:
     def encode_known(self, text: str) -> list[int]:
         """Ids of a text all of whose characters are pieces."""
         longest: list[str | None] = list(text)
-        for end, piece in self.automaton.iter(text):
-            start = end + 1 - len(piece)
-            if len(longest[start]) < len(piece):
-                longest[start] = piece
-        open_at = bytearray(b"\xff") * (len(text) // 8 + 1)  # bit p: an encoding may still go on from p
+        for end, (before, piece) in self.automaton.iter(text):  # by end, so of a start's matches the longest comes last
+            longest[end - before] = piece
+        failed: bytearray | None = None  # bit p: no encoding goes on from p; made when the first position fails
+        known, shorter, n = self.pairs.get, self.shorter, len(text)
         out: list[str] = []
-        at, piece = 0, longest[0]
-        while at < len(text):
+        at, last, piece = 0, None, longest[0]
+        while at < n:
             while piece is not None:
                 end = at + len(piece)
-                if open_at[end >> 3] >> (end & 7) & 1 and (not out or self.fits(out[-1], piece)):
-                    break
-                piece = self.shorter[piece]
+                if failed is None or not failed[end >> 3] >> (end & 7) & 1:
+                    if last is None:
+                        break
+                    if (fit := known((last, piece))) is None:
+                        fit = self.fits(last, piece)
+                    if fit:
+                        break
+                piece = shorter[piece]
             if piece is not None:
                 out.append(piece)
-                at = end
-                piece = longest[at] if at < len(text) else None
+                at, last = end, piece
+                piece = longest[at] if at < n else None
             else:
-                open_at[at >> 3] &= ~(1 << (at & 7)) & 0xFF
+                if failed is None:
+                    failed = bytearray(n // 8 + 1)
+                failed[at >> 3] |= 1 << (at & 7)
                 piece = out.pop()
                 at -= len(piece)
+                last = out[-1] if out else None
         return [self.ids[p] for p in out]
 
     def encode_unit(self, unit: str) -> list[int]:
