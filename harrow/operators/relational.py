@@ -80,3 +80,17 @@ def page_numbers(current: int, total: int) -> list[str]:
 def ordered_distinct(rows: DataFrame, value: str, order: str) -> DataFrame:
     """Distinct values in the order of their first place."""
     return rows.groupBy(value).agg(F.min(order).alias(order)).orderBy(order)
+
+
+def in_lanes(rows: DataFrame, by: str, order: Sequence[Column], lanes: int) -> DataFrame:
+    """The rows with ``lane``: those of one ``by`` are dealt to the lanes in turn."""
+    place = F.row_number().over(Window.partitionBy(by).orderBy(*order)) - 1
+    return rows.withColumn("lane", (place % lanes).cast("long"))
+
+
+def page_numbers(current: Column, last: int) -> Column:
+    """The first, the last, the current page and its neighbours in order, with an ellipsis for each gap."""
+    near = F.filter(F.array(current - 1, current, current + 1), lambda p: p.between(1, last))
+    shown = F.array_sort(F.array_distinct(F.concat(F.array(F.lit(1).cast("long"), F.lit(last).cast("long")), F.transform(near, lambda p: p.cast("long")))))
+    words = F.transform(shown, lambda p, i: F.when((i > 0) & (p - F.get(shown, i - 1) > 1), F.concat(F.lit("… "), p.cast("string"))).otherwise(p.cast("string")))
+    return F.array_join(words, " ")

@@ -268,24 +268,15 @@ def q_page_insight(spark, sf_dir):
 @query(f"WITH {P.DOCUMENTS} SELECT id, (row_number() OVER (PARTITION BY published_at ORDER BY id) - 1) % 3 AS lane FROM docs WHERE source_type <> 'news' AND published_at BETWEEN '2024-01-05' AND '2024-01-20'")
 def q_event_lanes(spark, sf_dir):
     """Official documents of a range of days, in three lanes a day."""
-    from pyspark.sql import Window
-
-    w = Window.partitionBy("published_at").orderBy("id")
     rows = P.documents(spark, sf_dir).where((F.col("source_type") != "news") & F.col("published_at").between("2024-01-05", "2024-01-20"))
-    return rows.select("id", ((F.row_number().over(w) - 1) % 3).cast("long").alias("lane"))
+    return relational.in_lanes(rows, "published_at", [F.col("id")], 3).select("id", "lane")
 
 
 @query("SELECT n_nationkey AS current, array_to_string(CASE WHEN n_nationkey < 1 THEN ['1', '…', '24'] WHEN n_nationkey = 1 THEN ['1', '2', '…', '24'] WHEN n_nationkey = 2 THEN ['1', '2', '3', '…', '24'] WHEN n_nationkey = 3 THEN ['1', '2', '3', '4', '…', '24'] WHEN n_nationkey = 22 THEN ['1', '…', '21', '22', '23', '24'] WHEN n_nationkey = 23 THEN ['1', '…', '22', '23', '24'] WHEN n_nationkey = 24 THEN ['1', '…', '23', '24'] ELSE ['1', '…', (n_nationkey - 1)::VARCHAR, n_nationkey::VARCHAR, (n_nationkey + 1)::VARCHAR, '…', '24'] END, ' ') AS pages FROM nation WHERE n_nationkey > 0")
 def q_page_numbers(spark, sf_dir):
-    """Page numbers to show for each current page of 24: gaps found with a window over the shown pages."""
-    from pyspark.sql import Window
-
+    """Page numbers to show for each current page of 24."""
     n = P.table(spark, sf_dir, "nation").where("n_nationkey > 0").select(F.col("n_nationkey").alias("current"))
-    shown = F.array_sort(F.array_distinct(F.filter(F.array(F.lit(1), F.lit(24), F.col("current") - 1, F.col("current"), F.col("current") + 1), lambda p: p.between(1, 24))))
-    pages = n.select("current", F.explode(shown).alias("p"))
-    gap = F.col("p") - F.lag("p").over(Window.partitionBy("current").orderBy("p")) > 1
-    text = pages.select("current", "p", F.concat(F.when(gap, "… ").otherwise(""), F.col("p").cast("string")).alias("t"))
-    return text.groupBy("current").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("p", "t"))), lambda x: x["t"]), " ").alias("pages"))
+    return n.select("current", relational.page_numbers(F.col("current"), 24).alias("pages"))
 
 
 BRIEF = f"""WITH {P.BRIEFINGS}, b AS (SELECT trim(date) AS date, trim(title) AS title, trim(message) AS content, CASE WHEN market_tone = '' THEN '중립' ELSE market_tone END AS market_tone, trim(coalesce(outlook, '')) AS outlook, 'Telegram' AS source FROM raw_briefings WHERE trim(coalesce(message, '')) <> '')"""

@@ -60,3 +60,12 @@ def test_excerpt(spark):
 def test_response_text(spark):
     payload = '{"output":[{"content":[{"type":"output_text","text":"a"},{"type":"x","text":"no"}]},{},{"content":[{"type":"output_text","text":"b"}]}]}'
     assert values(spark, [payload, "{}"], text.response_text) == ["a b", ""]
+
+
+def test_attributes_are_decoded(spark):
+    tags = ['<meta content="A &amp; B &#39;x&#39;">', "<meta content=' a&quot;b '>", "<meta name=x>"]
+    assert values(spark, tags, lambda c: text.html_attribute(c, "content")) == ["A & B 'x'", 'a"b', ""]
+
+
+def test_cleaned_html_is_decoded(spark):
+    assert values(spark, ["<p>a &lt;b&gt; c&nbsp;&amp;amp; d</p>"], text.clean_html) == ["a c &amp; d"]

@@ -91,3 +91,37 @@ def test_briefing_split_drops_head_and_marker(spark):
     over, details = briefings.split(F.lit(text), F.lit("<p>오름</p>"))
     row = spark.range(1).select(over, details).first()
     assert row[0] == "개요 문장\n\n향후 1주 판단\n오름" and row[1] == "정책 분석\n내용"
+
+
+def test_briefings_in_html_are_read(spark):
+    html = "<div><p>개요 <b>문장</b></p>둘째 줄<br/>셋째</div>"
+    row = spark.range(1).select(briefings.readable(F.lit(html)), briefings.readable(F.lit("a & b\nplain")), briefings.readable(F.lit("<p>a</p>\n\n\n\n<p>b</p>"))).first()
+    assert list(row) == ["개요 문장\n둘째 줄\n셋째", "a & b\nplain", "a\n\nb"]
+
+
+def test_large_days_are_compared_in_blocks(spark):
+    """Links found block by block join the same titles as all pairs do."""
+    import random
+
+    rng = random.Random(3)
+    kinds = ["".join(rng.choice("abcdefghijklmnop") for _ in range(30)) for _ in range(40)]
+    titles = [k[: rng.randint(0, 3)] + "z" * rng.randint(0, 2) + k[3:] for k in kinds for _ in range(5)]
+    news = spark.createDataFrame([(i, "2024-01-01", t, i) for i, t in enumerate(titles)], "id long, published_at string, title string, seq long")
+    from pyspark.sql import functions as S
+
+    from harrow.functions import text as T
+    from harrow.operators import connected
+
+    rows = news.select("id", "published_at", T.normalized_title(S.col("title")).alias("t"))
+    small = connected.components(connected.links_in_groups(rows, "published_at", S.col("t"), documents.alike_titles("set"), block_rows=16))
+    whole = connected.components(connected.links_in_groups(rows, "published_at", S.col("t"), documents.alike_titles("set"), block_rows=10_000))
+    assert {tuple(r) for r in small.collect()} == {tuple(r) for r in whole.collect()} and small.count() > 100
+
+
+def test_lanes_and_pages(spark):
+    from harrow.operators import relational
+
+    rows = spark.createDataFrame([("d", i) for i in range(5)] + [("e", 9)], "day string, id long")
+    assert sorted((r["day"], r["id"], r["lane"]) for r in relational.in_lanes(rows, "day", [F.col("id")], 3).collect()) == [("d", 0, 0), ("d", 1, 1), ("d", 2, 2), ("d", 3, 0), ("d", 4, 1), ("e", 9, 0)]
+    pages = spark.range(1, 6).select(relational.page_numbers(F.col("id"), 5)).collect()
+    assert [r[0] for r in pages] == ["1 2 … 5", "1 2 3 … 5", "1 2 3 4 5", "1 … 3 4 5", "1 … 4 5"]
