@@ -94,7 +94,7 @@ def counted_shingles(docs: DataFrame, text: str, over: int, most: int) -> tuple[
 
     def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         use("jaccard_join")
-        tally, seen = Tally(), set()
+        tally, seen = Tally(3_000_000), set()
 
         def batch_of(found: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
             seen.clear()
@@ -170,15 +170,62 @@ def prepared(docs: DataFrame, key: str, text: str, common: np.ndarray, lists: np
     return docs.select(F.col(key).cast("long"), text).mapInArrow(prepare, PREPARED)
 
 
-def shared_counts(rows: DataFrame) -> DataFrame:
-    """a, b (d1 of two classes) and how many prefix shingles they share, with both sizes, from the prepared rows."""
+def gathered(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.Table]:
+    """Non-empty tables of several batches each, of ``least`` rows or more but for the last."""
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch)
+        n += batch.num_rows
+        if n >= least:
+            yield pa.Table.from_batches(held)
+            held, n = [], 0
+    if n:
+        yield pa.Table.from_batches(held)
+
+
+def held_lists(rows: DataFrame) -> DataFrame:
+    """first, docs, facts: the list of each prefix shingle that two classes or more hold, one of them not hot: their d1 in
+    order and their facts.  ``first`` is the smallest d1, by which the lists of one group of near copies meet in a task."""
     # A shingle carries its set's facts in one number: where the prefix ends (the hash's first 16 bits; ties are safe), size, matches asked for.
     facts = F.shiftleft(F.shiftright("last", 47), 32).bitwiseOR(F.shiftleft(F.col("n").cast("long"), 3)).bitwiseOR(F.col("asked").cast("long"))
     tokens = rows.where("prefix is not null").select(F.explode("prefix").alias("h"), "d1", facts.alias("facts"))
 
+    def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        use("jaccard_join")
+
+        def of(h: np.ndarray, d1: np.ndarray, facts: np.ndarray) -> pa.RecordBatch:
+            """Lists of the runs of equal h; h is sorted and its runs are whole."""
+            order = np.lexsort((d1, h))
+            h, d1, facts = h[order], d1[order], facts[order]
+            fresh = np.r_[True, (h[1:] != h[:-1]) | (d1[1:] != d1[:-1])]  # tasks may repeat a class
+            h, d1, facts = h[fresh], d1[fresh], facts[fresh]
+            starts = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
+            lengths = np.diff(np.r_[starts, len(h)])
+            wanted = (lengths > 1) & (np.maximum.reduceat(facts & 7, starts) > 0)
+            kept, ends = np.repeat(wanted, lengths), np.r_[0, np.cumsum(lengths[wanted])]
+            arrays = [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(x[kept])) for x in (d1, facts)]
+            return pa.RecordBatch.from_arrays([pa.array(d1[starts[wanted]]), *arrays], names=["first", "docs", "facts"])
+
+        tail: list[np.ndarray] | None = None
+        for table in gathered(batches, 50_000):
+            cols = [table.column(c).to_numpy() for c in ("h", "d1", "facts")]
+            if tail is not None:
+                cols = [np.concatenate(x) for x in zip(tail, cols, strict=True)]
+            cut = int(np.searchsorted(cols[0], cols[0][-1]))  # the last run may go on in the next batches
+            if cut:
+                yield of(*(c[:cut] for c in cols))
+            tail = [c[cut:] for c in cols]
+        if tail is not None and len(tail[0]):
+            yield of(*tail)
+
+    return tokens.repartition("h").sortWithinPartitions("h").mapInArrow(lists, "first long, docs array<long>, facts array<long>")
+
+
+def shared_counts(rows: DataFrame) -> DataFrame:
+    """a, b (d1 of two classes) and how many prefix shingles they share, with both sizes, from the prepared rows."""
+
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         use("jaccard_join")
-        names = ("d1", "facts")
         held: list[np.ndarray] = []
         size = 0
 
@@ -191,52 +238,33 @@ def shared_counts(rows: DataFrame) -> DataFrame:
             out[:, 2] = np.add.reduceat(both[:, 2], first)
             return out
 
-        def add(h: np.ndarray, cols: dict[str, np.ndarray]) -> None:
-            """Pairs of each run of equal h; h is sorted and its runs are whole."""
-            nonlocal held, size
-            order = np.lexsort((cols["d1"], h))
-            h, cols = h[order], {k: v[order] for k, v in cols.items()}
-            fresh = np.r_[True, (h[1:] != h[:-1]) | (cols["d1"][1:] != cols["d1"][:-1])]  # tasks may repeat a class
-            h, cols = h[fresh], {k: v[fresh] for k, v in cols.items()}
-            starts = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
-            lengths = np.diff(np.r_[starts, len(h)])
-            gap = 1
-            left = np.flatnonzero(np.repeat(lengths, lengths) > 1)
-            ends = np.repeat(starts + lengths, lengths)
-            while len(left := left[left + gap < ends[left]]):  # the pairs that stand so far apart in their runs
+        for table in gathered(batches, 5_000):
+            lists = [table.column(c).combine_chunks() for c in ("docs", "facts")]
+            d1, facts = (x.flatten().to_numpy(zero_copy_only=False) for x in lists)
+            lengths = lists[0].value_lengths().to_numpy(zero_copy_only=False)
+            ends = np.repeat(np.cumsum(lengths), lengths)
+            gap, left = 1, np.arange(len(d1))
+            while len(left := left[left + gap < ends[left]]):  # the pairs that stand so far apart in their lists
                 a, b = left, left + gap
-                fa, fb = cols["facts"][a], cols["facts"][b]
+                fa, fb = facts[a], facts[b]
                 na, nb = fa >> 3 & 0x1FFFFFFF, fb >> 3 & 0x1FFFFFFF
                 keep = (OF * np.minimum(na, nb) >= ENOUGH * np.maximum(na, nb)) & ((fa & 7) + (fb & 7) > 0)
                 a, b, na, nb, fa, fb = a[keep], b[keep], na[keep], nb[keep], fa[keep], fb[keep]
                 la, lb = fa >> 32, fb >> 32
                 after_a, after_b = -(-ENOUGH * na // OF) - (fa & 7), -(-ENOUGH * nb // OF) - (fb & 7)  # what follows a prefix
                 after = np.where(la < lb, after_a, np.where(la > lb, after_b, np.maximum(after_a, after_b)))  # of that which ends first
-                held.append(np.column_stack([cols["d1"][a], cols["d1"][b], np.ones(len(a), np.int64), na + nb, after]))
+                held.append(np.column_stack([d1[a], d1[b], np.ones(len(a), np.int64), na + nb, after]))
                 size += len(a)
                 if size > 1_500_000:
                     held = [reduced()]
                     size = len(held[0]) // 2
                 gap += 1
-
-        tail_h, tail = np.empty(0, np.int64), None
-        for batch in batches:
-            h = np.concatenate([tail_h, batch.column("h").to_numpy()])
-            cols = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in names}
-            if tail is not None:
-                cols = {c: np.concatenate([tail[c], cols[c]]) for c in names}
-            cut = int(np.searchsorted(h, h[-1])) if len(h) else 0  # the last run may go on in the next batch
-            if cut:
-                add(h[:cut], {c: v[:cut] for c, v in cols.items()})
-            tail_h, tail = h[cut:], {c: v[cut:] for c, v in cols.items()}
-        if tail is not None and len(tail_h):
-            add(tail_h, tail)
         if held:
             out = reduced()
             for at in range(0, len(out), 50_000):
                 yield pa.RecordBatch.from_pydict({c: pa.array(out[at : at + 50_000, i]) for i, c in enumerate(("a", "b", "shared", "sizes", "after"))})
 
-    found = tokens.repartition("h").sortWithinPartitions("h").mapInArrow(pairs, "a long, b long, shared long, sizes long, after long")
+    found = held_lists(rows).repartition("first").mapInArrow(pairs, "a long, b long, shared long, sizes long, after long")
     return found.groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.first("sizes").alias("sizes"), F.first("after").alias("after"))
 
 
