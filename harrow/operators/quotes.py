@@ -160,3 +160,12 @@ def chart_scale(quotes: DataFrame, *, least_top: float = 30000.0, most_bottom: f
     top, bottom = F.greatest(F.lit(least_top), F.col("_hi") + pad), F.least(F.lit(most_bottom), F.greatest(F.lit(0.0), F.col("_lo") - pad))
     placed = ranged.withColumns({"x": F.col("_i") / F.greatest(F.col("_n") - 1, F.lit(1)), "y": (top - F.col("close")) / F.greatest(top - bottom, F.lit(1.0))})
     return placed.drop("_hi", "_lo", "_i", "_n")
+
+
+def grid_lines(quotes: DataFrame, *, lines: int = 5, least_top: float = 30000.0, most_bottom: float = 20000.0) -> DataFrame:
+    """symbol, line, price: evenly spaced prices from the top to the bottom of a symbol's chart (``chart_scale``'s range)."""
+    ends = quotes.groupBy("symbol").agg(F.max("high").alias("_hi"), F.min("low").alias("_lo"))
+    pad = F.greatest((F.col("_hi") - F.col("_lo")) * 0.16, F.lit(800.0))
+    top, bottom = F.greatest(F.lit(least_top), F.col("_hi") + pad), F.least(F.lit(most_bottom), F.greatest(F.lit(0.0), F.col("_lo") - pad))
+    numbered = ends.select("symbol", top.alias("_top"), bottom.alias("_bottom"), F.explode(F.sequence(F.lit(0), F.lit(lines - 1))).alias("line"))
+    return numbered.select("symbol", "line", (F.col("_top") - (F.col("_top") - F.col("_bottom")) * F.col("line") / (lines - 1)).alias("price"))

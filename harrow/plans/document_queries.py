@@ -223,6 +223,22 @@ def q_ranked_docs(spark, sf_dir):
     return P.documents(spark, sf_dir).orderBy(F.desc("published_at"), F.desc("title"), F.desc("id")).limit(80).select("id", "published_at")
 
 
+@query(f"WITH {P.DOCUMENTS} SELECT id, published_at FROM docs ORDER BY published_at DESC, seq LIMIT 30")
+def q_stable_latest(spark, sf_dir):
+    """The newest 30 documents; those of one day stay in feed order."""
+    return P.documents(spark, sf_dir).orderBy(F.desc("published_at"), "seq").limit(30).select("id", "published_at")
+
+
+@query("SELECT doc_id AS id, CASE doc_id % 3 WHEN 0 THEN '2024-01-01' WHEN 1 THEN '2023-12-31' ELSE '' END AS date FROM documents")
+def q_document_date(spark, sf_dir):
+    """The date of documents that have it under either of two names."""
+    from harrow.sources.readers import first_given
+
+    i = F.col("doc_id") % 3
+    rows = P.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.when(i == 0, "2024-01-01").when(i == 1, "").alias("publishedAt"), F.when(i == 2, "").otherwise("2023-12-31").alias("date"))
+    return rows.select("id", first_given("publishedAt", "date").alias("date"))
+
+
 @query(f"WITH {P.DOCUMENTS} SELECT id FROM docs WHERE section <> 'news' ORDER BY published_at DESC, title DESC, id DESC LIMIT 5 OFFSET 10")
 def q_policy_page(spark, sf_dir):
     """The third page of five official documents."""

@@ -240,3 +240,17 @@ def q_year_slices(spark, sf_dir):
 def q_chart_scale(spark, sf_dir):
     """Each row's place in its symbol's chart, from 0 to 1 from the left and from the top."""
     return Q.chart_scale(P.quotes(spark, sf_dir)).select("date", "symbol", "x", "y")
+
+
+@query(f"""WITH {P.QUOTES}, r AS (SELECT symbol, max(high) AS hi, min(low) AS lo FROM quotes GROUP BY symbol),
+  e AS (SELECT symbol, greatest(30000.0, hi + greatest((hi - lo) * 0.16, 800.0)) AS top, least(20000.0, greatest(0.0, lo - greatest((hi - lo) * 0.16, 800.0))) AS bottom FROM r)
+  SELECT symbol, line, top - (top - bottom) * line / 4 AS price FROM e, (SELECT unnest(range(0, 5)) AS line)""")
+def q_grid_lines(spark, sf_dir):
+    """Five prices across each symbol's chart."""
+    return Q.grid_lines(P.quotes(spark, sf_dir))
+
+
+@query(f"WITH {P.QUOTES} SELECT date, symbol, close FROM quotes ORDER BY date, symbol LIMIT 10")
+def q_preview_prices(spark, sf_dir):
+    """The first ten rows in the order of date and symbol."""
+    return P.quotes(spark, sf_dir).orderBy("date", "symbol").limit(10).select("date", "symbol", "close")

@@ -31,6 +31,11 @@ def renamed(rows: DataFrame, aliases: Mapping[str, Sequence[str]]) -> DataFrame:
     return rows.select(*((F.coalesce(F.col(f"`{c}`"), F.lit("")) if c else F.lit("")).alias(n) for n, c in found.items()))
 
 
+def first_given(*columns: str) -> Column:
+    """The first of several columns that isn't empty; '' if all are."""
+    return F.coalesce(*(F.nullif(F.col(c), F.lit("")) for c in columns), F.lit(""))
+
+
 def read_quotes(spark: SparkSession, path: str) -> DataFrame:
     """Quotes of a CSV or tab-separated file with an English or Korean header; rows without a date or close are dropped.
 
