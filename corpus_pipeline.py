@@ -83,7 +83,8 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     others = [c for c in docs.columns if c != "text"]
     rows = mixed.select(*others, F.col("place").alias("_in_source"), F.explode(taken).alias("_part")).withColumn("text", F.col("_part.text"))
     order = ("_part.shard", "_part.place", "_part.draw", "_in_source", "_part.from_word")
-    return with_text(rows.repartition("_part.shard").sortWithinPartitions(*order), F.col("text"), docs.columns)
+    # By range, so that tasks are alike in size however few and large the shards are.
+    return with_text(rows.repartitionByRange(*order).sortWithinPartitions(*order), F.col("text"), docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
