@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harrow.llm import ann, html_text, jaccard_join, mixing, oracles, quality, sentencepieces, substring_dedup, token_counts, topk, url_reputation
-from harrow.llm.common import checkpoint, shared_folder, small_batches, table
+from harrow.llm import ann, html_text, jaccard_join, mixing, oracles, quality, sentencepieces, substring_dedup, token_counts, token_files, topk, url_reputation
+from harrow.llm.common import checkpoint, scratch_path, shared_folder, small_batches, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -105,6 +105,14 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select("doc_id", "n_words", F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"), F.coalesce("cut_sha256", "whole_sha256").alias("kept_sha256"))
 
 
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document, written as equal-length sequences and read back."""
+    small_batches(spark)
+    path = scratch_path(spark, "token-files")
+    token_files.write_tokens(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), path, end_id=2)
+    return token_files.read_tokens(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_html_text": op1_html_text,
@@ -117,6 +125,7 @@ def queries() -> dict[str, Query]:
         "op8_exact_topk": op8_exact_topk,
         "op9_mixing": op9_mixing,
         "op10_substring_dedup": op10_substring_dedup,
+        "op13_token_files": op13_token_files,
     }
 
 
