@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harrow.llm import ann, html_text, jaccard_join, mixing, oracles, quality, sentencepieces, substring_dedup, token_counts, token_files, topk, url_reputation
+from harrow.llm import ann, conversation_repair, html_text, jaccard_join, mixing, oracles, quality, sentencepieces, substring_dedup, token_counts, token_files, topk, url_reputation
 from harrow.llm.common import checkpoint, scratch_path, shared_folder, small_batches, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -105,6 +105,12 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select("doc_id", "n_words", F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"), F.coalesce("cut_sha256", "whole_sha256").alias("kept_sha256"))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cheapest repair of every damaged conversation."""
+    small_batches(spark)
+    return conversation_repair.repair(conversation_repair.damaged(table(spark, sf_dir, "conversations")))
+
+
 def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document, written as equal-length sequences and read back."""
     small_batches(spark)
@@ -125,6 +131,7 @@ def queries() -> dict[str, Query]:
         "op8_exact_topk": op8_exact_topk,
         "op9_mixing": op9_mixing,
         "op10_substring_dedup": op10_substring_dedup,
+        "op12_conversation_repair": op12_conversation_repair,
         "op13_token_files": op13_token_files,
     }
 
