@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harrow.llm import ann, conversation_repair, html_text, jaccard_join, mixing, oracles, quality, sentencepieces, substring_dedup, token_counts, token_files, topk, url_reputation
+from harrow.llm import ann, conversation_repair, html_text, jaccard_join, mixing, oracles, quality, sentencepieces, substring_dedup, token_alignment, token_counts, token_files, topk, url_reputation
 from harrow.llm.common import checkpoint, scratch_path, shared_folder, small_batches, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -105,6 +105,13 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select("doc_id", "n_words", F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"), F.coalesce("cut_sha256", "whole_sha256").alias("kept_sha256"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links between every document's tokens of two vocabularies, and how frequent the linked ids are in all documents."""
+    small_batches(spark)
+    docs = table(spark, sf_dir, "documents")
+    return token_alignment.aligned(docs, tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+
+
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cheapest repair of every damaged conversation."""
     small_batches(spark)
@@ -131,6 +138,7 @@ def queries() -> dict[str, Query]:
         "op8_exact_topk": op8_exact_topk,
         "op9_mixing": op9_mixing,
         "op10_substring_dedup": op10_substring_dedup,
+        "op11_token_alignment": op11_token_alignment,
         "op12_conversation_repair": op12_conversation_repair,
         "op13_token_files": op13_token_files,
     }
