@@ -2,7 +2,8 @@
 
 Byte-level models with the usual split pattern never reach over a space or line end into what stands before it, and models
 that drop white space never reach over it at all; texts whose white space is spaces and line ends are then encoded word by
-word, and each new word once.  All other texts and models are encoded whole.
+word, and each new word once.  All other texts and models are encoded whole.  Models of lower case that part letters, digits
+and other characters are given such parts where a word is of common characters only.
 """
 
 from __future__ import annotations
@@ -10,7 +11,8 @@ from __future__ import annotations
 import json
 import os
 import re
-from itertools import chain
+from array import array
+from itertools import accumulate, chain, pairwise
 from pathlib import Path
 
 import numpy as np
@@ -19,8 +21,13 @@ from harrow.llm.memo import kept_for, use
 
 #: A word with the white space before it, as byte-level models cut; what stands last may be white space alone.
 LED_WORD = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
+#: How models of lower case part words.
+PARTED = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Characters other than those whose case, class and composition all libraries agree on; and a lower-case text's parts.
+UNCOMMON = re.compile(r"[^\n -~À-ÖØ-öø-ÿŒœ¡¿«»–—‘’“”…€]")
+PARTS = re.compile(r"[a-zß-öø-ÿœ]+|[0-9]|[^ \na-zß-öø-ÿœ0-9]+")
 #: Words that a worker remembers at most, characters of the longest of them, and characters of texts encoded together.
-MOST_WORDS, LONGEST, CHUNK = 600_000, 64, 1_000_000
+MOST_WORDS, LONGEST, CHUNK = 800_000, 64, 1_000_000
 ODD_SPACE = re.compile(r"[^\S \n]")
 
 
@@ -39,6 +46,7 @@ class WordEncoder:
         self.tokenizer.no_padding()
         self.tokenizer.encode_special_tokens = plain
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.code = "H" if self.dtype.itemsize == 2 else "I"
         self.words = self.cut(json.loads(Path(path).read_text(encoding="utf-8")))
         self.ids: dict[str, bytes] = {}
 
@@ -50,14 +58,20 @@ class WordEncoder:
         if pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex", True) and spec.get("normalizer") is None:
             return LED_WORD.findall
         parts, normal = pre.get("pretokenizers") or [{}], (spec.get("normalizer") or {}).get("normalizers") or []
-        split = parts[0].get("type") == "Split" and parts[0].get("behavior") == "Removed" and parts[0].get("invert") and r"[^\s\p{L}\p{N}]+" in parts[0]["pattern"].get("Regex", "") and " ?" not in parts[0]["pattern"]["Regex"]
+        split = (parts[0].get("type"), parts[0].get("behavior"), parts[0].get("invert"), parts[0].get("pattern")) == ("Split", "Removed", True, {"Regex": PARTED})
         rest = all(p.get("type") == "ByteLevel" and not p.get("add_prefix_space") and not p.get("use_regex", True) for p in parts[1:])
-        if split and rest and all(n.get("type") in ("NFC", "Lowercase") or (n.get("type"), n.get("content")) == ("Replace", " ") for n in normal):
-            return lambda text: text.replace("\n", " ").split(" ")
+        if split and rest and [(n["type"], n.get("pattern"), n.get("content")) for n in normal] == [("NFC", None, None), ("Replace", {"Regex": r"\s+"}, " "), ("Lowercase", None, None)]:
+            return self.lower_parts
         return None
 
+    def lower_parts(self, text: str) -> list[str]:
+        common = lambda t: "'" not in t and "<|" not in t and not UNCOMMON.search(t)  # noqa: E731  contractions and special tokens are the library's
+        if common(text):
+            return PARTS.findall(text.lower())
+        return [p for w in text.replace("\n", " ").split(" ") for p in (PARTS.findall(w.lower()) if common(w) else [w])]
+
     def many(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [array(self.code, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Each text's ids as bytes of ``dtype``; null counts as empty."""
@@ -73,17 +87,18 @@ class WordEncoder:
     def encode_chunk(self, texts: list[str]) -> list[bytes]:
         by_word = [self.words is not None and not ODD_SPACE.search(t) for t in texts]
         words = [self.words(t) if w else [t] for t, w in zip(texts, by_word, strict=True)]
-        known = self.ids
-        new = list(set(chain.from_iterable(words)).difference(known))
+        flat, known = list(chain.from_iterable(words)), self.ids
+        found = list(map(known.get, flat))
+        missing = [n for n, ids in enumerate(found) if ids is None]
+        new = list({flat[n] for n in missing})
+        fresh = dict(zip(new, self.many(new), strict=True))
+        for n in missing:
+            found[n] = fresh[flat[n]]
         if len(known) + len(new) > MOST_WORDS:
             known.clear()
-            new = list(set(chain.from_iterable(words)))
-        known.update(zip(new, self.many(new), strict=True))
-        out = [b"".join(map(known.__getitem__, w)) for w in words]
-        for w in new:
-            if len(w) > LONGEST:
-                del known[w]
-        return out
+        known.update(fresh if max(map(len, new), default=0) <= LONGEST else ((w, i) for w, i in fresh.items() if len(w) <= LONGEST))
+        ends = list(accumulate(map(len, words), initial=0))
+        return [b"".join(found[a:b]) for a, b in pairwise(ends)]
 
 
 _ENCODERS: dict[tuple, WordEncoder] = kept_for("word_ids", {})
