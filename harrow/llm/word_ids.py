@@ -101,6 +101,52 @@ class WordEncoder:
         return [b"".join(found[a:b]) for a, b in pairwise(ends)]
 
 
+def byte_of_character() -> dict[str, int]:
+    """The byte that each character of a byte-level entry stands for: printable ones themselves, the others in order from
+    U+0100 on."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in plain]
+    return {chr(b): b for b in plain} | {chr(256 + n): b for n, b in enumerate(others)}
+
+
+class ByteEncoder:
+    """Ids of a byte-level file, all texts plain; and the bytes that each id stands for.
+
+    Where the file's merges are in the order of their results' ids, the ids are ranks, which tiktoken encodes by, several
+    times faster than the file's own library.  It gets the texts whose characters both libraries class alike: those that
+    hold only common ones, of old alphabets besides.
+    """
+
+    #: Fixed value: how the file's library cuts texts.
+    CUT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+    STRANGE = re.compile(r"[^\n -~À-ÖØ-öø-ÿŒœ¡¿«»–—‘’“”…€а-яА-Яα-ωΑ-ΡΣ-Ω가-힣一-龥ぁ-ゔァ-ヺ、。]")
+
+    def __init__(self, path: str):
+        self.whole = WordEncoder(path, plain=True)
+        spec = json.loads(Path(path).read_text(encoding="utf-8"))
+        byte, entries = byte_of_character(), spec["model"]["vocab"] | {a["content"]: a["id"] for a in spec.get("added_tokens") or []}
+        self.bytes = [b""] * (max(entries.values()) + 1)
+        for entry, i in entries.items():
+            self.bytes[i] = bytes(byte[c] for c in entry)
+        merges = [m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"]]
+        model = spec["model"]["vocab"]
+        ranked = [model.get(a + b) for a, b in merges] == list(range(256, 256 + len(merges))) and len(model) - 256 <= len(merges) + 1
+        self.fast = None
+        if ranked and self.whole.words == LED_WORD.findall:
+            import tiktoken
+
+            special = {a["content"] for a in spec.get("added_tokens") or []}
+            self.fast = tiktoken.Encoding("ranks", pat_str=self.CUT, mergeable_ranks={self.bytes[i]: i for e, i in model.items() if e not in special}, special_tokens={})
+
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        if self.fast is None:
+            return [np.frombuffer(i, self.whole.dtype).tolist() for i in self.whole.encode(texts)]
+        return [np.frombuffer(self.whole.encode([t])[0], self.whole.dtype).tolist() if self.STRANGE.search(t) else self.fast.encode_ordinary(t) for t in texts]
+
+    def decode(self, ids: list[int]) -> bytes:
+        return self.fast.decode_bytes(ids) if self.fast else b"".join(map(self.bytes.__getitem__, ids))
+
+
 _ENCODERS: dict[tuple, WordEncoder] = kept_for("word_ids", {})
 
 
