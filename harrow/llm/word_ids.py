@@ -25,6 +25,7 @@ LED_WORD = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
 PARTED = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Characters other than those whose case, class and composition all libraries agree on; and a lower-case text's parts.
 UNCOMMON = re.compile(r"[^\n -~À-ÖØ-öø-ÿŒœ¡¿«»–—‘’“”…€]")
+LETTERS = re.compile(r"[a-zß-öø-ÿœ]+")
 PARTS = re.compile(r"[a-zß-öø-ÿœ]+|[0-9]|[^ \na-zß-öø-ÿœ0-9]+")
 #: Words that a worker remembers at most, characters of the longest of them, and characters of texts encoded together.
 MOST_WORDS, LONGEST, CHUNK = 800_000, 64, 1_000_000
@@ -47,7 +48,13 @@ class WordEncoder:
         self.tokenizer.encode_special_tokens = plain
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.code = "H" if self.dtype.itemsize == 2 else "I"
-        self.words = self.cut(json.loads(Path(path).read_text(encoding="utf-8")))
+        spec = json.loads(Path(path).read_text(encoding="utf-8"))
+        self.words = self.cut(spec)
+        #: Which ids end a word, where words are parted and marked so.
+        self.ends = None
+        if self.words == self.lower_parts and (mark := spec["model"].get("end_of_word_suffix")):
+            self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
+            self.ends[[i for entry, i in spec["model"]["vocab"].items() if entry.endswith(mark)]] = True
         self.ids: dict[str, bytes] = {}
 
     def cut(self, spec: dict):
@@ -73,6 +80,21 @@ class WordEncoder:
     def many(self, texts: list[str]) -> list[bytes]:
         return [array(self.code, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def many_parts(self, parts: list[str]) -> dict[str, bytes]:
+        """Ids of distinct parts.  Those of letters alone are encoded together, as words of texts, and told apart by their
+        last ids, which are ends of words."""
+        words = list(filter(LETTERS.fullmatch, parts)) if self.ends is not None else []
+        out: dict[str, bytes] = {}
+        for n in range(0, len(words), 500):
+            some = words[n : n + 500]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, self.dtype)
+            ends = (np.flatnonzero(self.ends[ids]) + 1) * self.dtype.itemsize
+            raw = ids.tobytes()
+            out.update((w, raw[a:b]) for w, (a, b) in zip(some, pairwise([0, *ends.tolist()]), strict=True))
+        others = [p for p in parts if p not in out]
+        out.update(zip(others, self.many(others), strict=True))
+        return out
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Each text's ids as bytes of ``dtype``; null counts as empty."""
         out: list[bytes] = []
@@ -91,7 +113,7 @@ class WordEncoder:
         found = list(map(known.get, flat))
         missing = [n for n, ids in enumerate(found) if ids is None]
         new = list({flat[n] for n in missing})
-        fresh = dict(zip(new, self.many(new), strict=True))
+        fresh = self.many_parts(new)
         for n in missing:
             found[n] = fresh[flat[n]]
         if len(known) + len(new) > MOST_WORDS:
