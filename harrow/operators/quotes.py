@@ -129,8 +129,8 @@ def date_axis(quotes: DataFrame, dates: DataFrame) -> DataFrame:
     both = axis.withColumn("_asked", F.lit(False)).unionByName(dates.select("symbol", "day").withColumns({"place": F.lit(None).cast("double"), "_asked": F.lit(True)}))
     at = F.when(F.col("place").isNotNull(), F.struct("day", "place"))
     up = Window.partitionBy("symbol").orderBy("day", F.col("_asked")).rowsBetween(Window.unboundedPreceding, 0)
-    down = Window.partitionBy("symbol").orderBy("day", F.desc("_asked")).rowsBetween(0, Window.unboundedFollowing)
-    near = both.withColumns({"_left": F.last(at, ignorenulls=True).over(up), "_right": F.first(at, ignorenulls=True).over(down)}).where("_asked")
+    down = Window.partitionBy("symbol").orderBy(F.desc("day"), F.col("_asked")).rowsBetween(Window.unboundedPreceding, 0)
+    near = both.withColumns({"_left": F.last(at, ignorenulls=True).over(up), "_right": F.last(at, ignorenulls=True).over(down)}).where("_asked")
     days = lambda a, b: F.datediff(a, b).cast("double")
     between = F.col("_left.place") + (F.col("_right.place") - F.col("_left.place")) * days(F.col("day"), F.col("_left.day")) / F.greatest(days(F.col("_right.day"), F.col("_left.day")), F.lit(1.0))
     placed = F.when(F.col("_left").isNull(), F.col("_right.place")).when(F.col("_right").isNull(), F.col("_left.place")).otherwise(between)

@@ -66,31 +66,28 @@ def page(rows: DataFrame, number: int, size: int, order: Sequence[Column]) -> Da
     return rows.orderBy(*order).offset((min(max(number, 1), total) - 1) * size).limit(size)
 
 
-def page_numbers(current: int, total: int) -> list[str]:
-    """Pages to show: all up to 7; else the first, the last and those around the current, with gaps marked."""
-    if total <= 7:
-        return [str(p) for p in range(1, total + 1)]
-    shown = sorted(p for p in {1, total, current - 1, current, current + 1} if 1 <= p <= total)
-    out: list[str] = []
-    for before, p in zip([None, *shown], shown, strict=False):
-        out += ["…"] * (before is not None and p - before > 1) + [str(p)]
-    return out
-
-
 def ordered_distinct(rows: DataFrame, value: str, order: str) -> DataFrame:
     """Distinct values in the order of their first place."""
     return rows.groupBy(value).agg(F.min(order).alias(order)).orderBy(order)
 
 
+def in_order(rows: DataFrame, by: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """The rows with ``place``, from 0, among those of one ``by``."""
+    return rows.withColumn("place", F.row_number().over(Window.partitionBy(*by).orderBy(*order)).cast("long") - 1)
+
+
 def in_lanes(rows: DataFrame, by: str, order: Sequence[Column], lanes: int) -> DataFrame:
     """The rows with ``lane``: those of one ``by`` are dealt to the lanes in turn."""
     place = F.row_number().over(Window.partitionBy(by).orderBy(*order)) - 1
     return rows.withColumn("lane", (place % lanes).cast("long"))
 
 
-def page_numbers(current: Column, last: int) -> Column:
-    """The first, the last, the current page and its neighbours in order, with an ellipsis for each gap."""
-    near = F.filter(F.array(current - 1, current, current + 1), lambda p: p.between(1, last))
-    shown = F.array_sort(F.array_distinct(F.concat(F.array(F.lit(1).cast("long"), F.lit(last).cast("long")), F.transform(near, lambda p: p.cast("long")))))
+def page_numbers(current: Column, last: Column | int) -> Column:
+    """Pages to show, in order: all of up to 7; else the first, the last, the current and its neighbours, with an ellipsis
+    for each gap."""
+    last = (last if isinstance(last, Column) else F.lit(last)).cast("long")
+    near = F.filter(F.array(*(current.cast("long") + d for d in (-1, 0, 1))), lambda p: p.between(1, last))
+    few = F.sequence(F.lit(1).cast("long"), F.greatest(last, F.lit(1)))
+    shown = F.when(last <= 7, few).otherwise(F.array_sort(F.array_distinct(F.concat(F.array(F.lit(1).cast("long"), last), near))))
     words = F.transform(shown, lambda p, i: F.when((i > 0) & (p - F.get(shown, i - 1) > 1), F.concat(F.lit("… "), p.cast("string"))).otherwise(p.cast("string")))
     return F.array_join(words, " ")

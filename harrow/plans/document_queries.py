@@ -63,7 +63,7 @@ def q_retention(spark, sf_dir):
 def q_document_upsert(spark, sf_dir):
     """Stored and collected documents merged by key, the last one kept."""
     docs = P.documents(spark, sf_dir).withColumn("merge_key", D.merge_key())
-    return relational.upsert(docs.where("id % 2 = 0"), docs.where("id % 2 = 1"), ["merge_key"], "seq").groupBy("merge_key").agg(F.max("id").alias("id")).join(docs.groupBy("merge_key").agg(F.max("id").alias("last")), "merge_key").select("merge_key", F.greatest("id", "last").alias("id"))
+    return relational.upsert(docs.where("id % 2 = 0"), docs.where("id % 2 = 1"), ["merge_key"], "seq").select("merge_key", "id")
 
 
 KOREAN = "CASE id % 6 WHEN 0 THEN '경매 상쇄' WHEN 1 THEN '외부사업' WHEN 2 THEN '예비분 계획기간' WHEN 3 THEN '할당대상' WHEN 4 THEN '유상할당' ELSE '' END"
@@ -295,6 +295,18 @@ def q_page_numbers(spark, sf_dir):
     return n.select("current", relational.page_numbers(F.col("current"), 24).alias("pages"))
 
 
+@query(f"""WITH {P.DOCUMENTS}, r AS (SELECT section, (row_number() OVER (PARTITION BY section, published_at ORDER BY id) - 1) // 5 + 1 AS current, published_at, count(*) OVER (PARTITION BY section, published_at) AS n FROM docs),
+  p AS (SELECT DISTINCT section, published_at, current, CAST(ceil(n / 5) AS BIGINT) AS last FROM r), s AS (SELECT *, CASE WHEN last <= 7 THEN range(1, last + 1) ELSE list_filter(range(1, last + 1), lambda x: x = 1 OR x = last OR abs(x - current) <= 1) END AS shown FROM p)
+  SELECT section, published_at, current, array_to_string(list_transform(range(1, len(shown) + 1), lambda i: CASE WHEN i > 1 AND shown[i] - shown[i - 1] > 1 THEN '… ' || shown[i] ELSE shown[i]::VARCHAR END), ' ') AS pages FROM s""")
+def q_section_pages(spark, sf_dir):
+    """Page numbers to show on each page of five of a section's documents of a day."""
+    d, day = P.documents(spark, sf_dir), ["section", "published_at"]
+    placed = relational.in_order(d, day, [F.col("id")]).withColumn("current", F.expr("place div 5 + 1"))
+    lasts = d.groupBy(*day).agg(F.ceil(F.count("*") / 5).alias("last"))
+    shown = placed.select(*day, "current").distinct().join(lasts, day)
+    return shown.select(*day, "current", relational.page_numbers(F.col("current"), F.col("last")).alias("pages"))
+
+
 BRIEF = f"""WITH {P.BRIEFINGS}, b AS (SELECT trim(date) AS date, trim(title) AS title, trim(message) AS content, CASE WHEN market_tone = '' THEN '중립' ELSE market_tone END AS market_tone, trim(coalesce(outlook, '')) AS outlook, 'Telegram' AS source FROM raw_briefings WHERE trim(coalesce(message, '')) <> '')"""
 
 
