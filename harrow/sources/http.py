@@ -6,6 +6,7 @@ Requests are made by a ``fetch`` callable, given by import path, so that tests a
 from __future__ import annotations
 
 import datetime as dt
+import http.client
 import importlib
 import json
 import time
@@ -19,6 +20,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, InputPartition
 
+from harrow.shared import new_path
+from harrow.sources.answers import Kept
+
+#: What makes a request fail: no connection, no valid answer, no valid url.
+FAILURES = (OSError, ValueError, http.client.HTTPException)
+
 
 def retried(call: Callable[[], str], attempts: int = 3, wait: Callable[[float], None] = time.sleep) -> str:
     """The call's result, after waits of 1, 2, 4 ... seconds between failures."""
@@ -107,25 +114,38 @@ def named(path: str) -> Callable[..., str]:
     return getattr(importlib.import_module(module), name)
 
 
-def with_pages(docs: DataFrame, url: str, page: str, *, fetch: str = "harrow.sources.http:get_page", timeout: float = 6.0) -> DataFrame:
-    """Documents with the pages behind their urls, '' where none can be had.  Call it with the rows that need it alone:
-    each is a request, and requests are made again when a task is."""
+def with_pages(docs: DataFrame, url: str, page: str, *, fetch: str = "harrow.sources.http:get_page", timeout: float = 6.0, lanes: int = 6, pace: float = 0.0, keep: str | None = None) -> DataFrame:
+    """Documents with the pages behind their urls, '' where none can be had.
 
-    @F.arrow_udf("string")
-    def pages(urls: pa.Array) -> pa.Array:
-        call = named(fetch)
+    Distinct urls are dealt by host to ``lanes`` tasks, each of which asks for one page after another: so many requests are
+    under way at most, a host gets one at a time, and the next one ``pace`` seconds after it at the earliest.  Answers are
+    kept in the folder ``keep`` (by default one in the shared folder), so what is run again asks for nothing again.
+    """
+    spark = docs.sparkSession
+    folder = keep or new_path(spark, "answers")
+    asked = docs.select(F.col(url).alias("_url")).where(F.lower("_url").rlike("^https?://")).distinct()
 
-        def one(u: str | None) -> str:
-            if not (u or "").lower().startswith(("http://", "https://")):
-                return ""
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        call, kept = named(fetch), Kept(folder)
+        last: dict[str, float] = {}
+
+        def one(u: str) -> str:
+            host = u.split("/")[2].lower()
+            time.sleep(max(0.0, last.get(host, 0.0) + pace - time.monotonic()))
             try:
                 return call(u, {}, timeout)
-            except OSError:
+            except FAILURES:
                 return ""
+            finally:
+                last[host] = time.monotonic()
 
-        return pa.array([one(u) for u in urls.to_pylist()], pa.string())
+        for batch in batches:
+            for u in batch.column(0).to_pylist():
+                yield pa.RecordBatch.from_arrays([pa.array([u]), pa.array([kept.get(u, lambda: one(u))])], names=["_url", "_page"])  # noqa: B023
 
-    return docs.withColumn(page, pages(F.col(url)))
+    by_host = asked.repartition(lanes, F.lower(F.substring_index(F.substring_index("_url", "/", 3), "/", -1)))
+    pages = by_host.mapInArrow(ask, "_url string, _page string")
+    return docs.join(pages, F.col(url) == F.col("_url"), "left").withColumn(page, F.coalesce("_page", F.lit(""))).drop("_url", "_page")
 
 
 class Slice(InputPartition):
@@ -147,6 +167,31 @@ def year_slices(first: dt.date, last: dt.date) -> list[Slice]:
     return [Slice(a.isoformat(), {"fromDate": a.strftime("%Y%m%d"), "toDate": b.strftime("%Y%m%d")}) for a, b in spans]
 
 
+class Lane(InputPartition):
+    """Slices that one task asks for, one after another."""
+
+    def __init__(self, slices: list[Slice]):
+        super().__init__(slices[0].name)
+        self.slices = slices
+
+
+def in_lanes(slices: list[Slice], lanes: str | None) -> list[Lane]:
+    """The slices, each a task's; or, if a number of lanes is given, dealt to so many tasks."""
+    n = min(int(lanes), len(slices)) if lanes else len(slices)
+    return [Lane(slices[k::n]) for k in range(n)]
+
+
+def api_rows(payload: str, envelope: str, name: str, columns: list[str]) -> Iterator[tuple]:
+    """Rows of an answer as text, led by the name of what was asked for."""
+    for row in rows_of(payload, envelope):
+        yield (name, *(None if row.get(c) is None else str(row[c]) for c in columns[1:]))
+
+
+def answered(options: dict, question: str, ask: Callable[[], str]) -> str:
+    """What ``ask`` gives; kept and not asked again where there is a folder to keep it."""
+    return Kept(options["keep"]).get(question, ask) if options.get("keep") else ask()
+
+
 class ApiReader(DataSourceReader):
     def __init__(self, options: dict, columns: list[str]):
         self.options, self.columns, self.symbol = options, columns, ""
@@ -160,22 +205,25 @@ class ApiReader(DataSourceReader):
 
     def partitions(self):
         first, last = (dt.date.fromisoformat(self.options[k]) for k in ("from", "to"))
-        return (year_slices if self.options.get("by") == "year" else day_slices)(first, last)
+        return in_lanes((year_slices if self.options.get("by") == "year" else day_slices)(first, last), self.options.get("lanes"))
 
     def read(self, partition) -> Iterator[tuple]:
         fetch = named(self.options.get("fetch", "harrow.sources.http:get"))
         extra = json.loads(self.options.get("params", "{}"))
-        params = extra | partition.params | ({"symbol": self.symbol} if self.symbol else {})
-        payload = retried(lambda: fetch(self.options["url"], params, float(self.options.get("timeout", 30))))
-        for row in rows_of(payload, self.options.get("envelope", "items")):
-            yield (partition.name, *(None if row.get(c) is None else str(row[c]) for c in self.columns[1:]))
+        for part in partition.slices:
+            params = extra | part.params | ({"symbol": self.symbol} if self.symbol else {})
+            ask = lambda: retried(lambda: fetch(self.options["url"], params, float(self.options.get("timeout", 30))))  # noqa: B023, E731
+            payload = answered(self.options, json.dumps([self.options["url"], params], sort_keys=True), ask)
+            yield from api_rows(payload, self.options.get("envelope", "items"), part.name, self.columns)
 
 
 class ApiSource(DataSource):
     """``spark.read.format("harrow_api")``: text columns named in ``columns``, and the ``day`` they were asked for.
 
     Options: url, from, to, columns; ``by`` (day, or year for grids over a range: the day is then the slice's first),
-    ``envelope`` (the list's name), ``params`` (more parameters, as JSON), ``fetch`` (``harrow.sources.http:post`` for forms).
+    ``envelope`` (the list's name), ``params`` (more parameters, as JSON), ``fetch`` (``harrow.sources.http:post`` for forms),
+    ``lanes`` (requests under way at a time; else as many as tasks run), ``keep`` (a folder for answers, so that nothing is
+    asked for again).
     """
 
     @classmethod
@@ -209,28 +257,32 @@ class FeedReader(DataSourceReader):
         keywords, most = json.loads(self.options.get("keywords", "[]")), int(self.options.get("most", 60))
         if self.options.get("search") == "news":  # all keywords in one request
             days = int(self.options.get("days", 30))
-            return [Slice("", {"q": news_query(keywords, days), "hl": "ko", "gl": "KR", "ceid": "KR:ko"})]
-        return [Slice(k, search_params(k, most)) for k in keywords] or [Slice("", {})]
+            return [Lane([Slice("", {"q": news_query(keywords, days), "hl": "ko", "gl": "KR", "ceid": "KR:ko"})])]
+        return in_lanes([Slice(k, search_params(k, most)) for k in keywords] or [Slice("", {})], self.options.get("lanes", "3"))
 
     def read(self, partition) -> Iterator[tuple]:
+        for part in partition.slices:
+            yield self.first_answer(part)
+
+    def first_answer(self, part: Slice) -> tuple:
         fetch, failed = named(self.options.get("fetch", "harrow.sources.http:get")), []
         for url in host_variants(self.options["url"]):
+            ask = lambda: retried(lambda: fetch(url, part.params, float(self.options.get("timeout", 12))), attempts=int(self.options.get("attempts", 1)))  # noqa: B023, E731
             try:
-                xml = retried(lambda: fetch(url, partition.params, float(self.options.get("timeout", 12))), attempts=int(self.options.get("attempts", 1)))  # noqa: B023
-            except OSError as e:
+                xml = answered(self.options, json.dumps([url, part.params], sort_keys=True), ask)
+            except FAILURES as e:
                 failed.append(f"{url}: {e}")
                 continue
             if xml.strip():
-                yield (partition.name, xml, None)
-                return
-        yield (partition.name, None, " | ".join(failed) or "nothing there")
+                return (part.name, xml, None)
+        return (part.name, None, " | ".join(failed) or "nothing there")
 
 
 class FeedSource(DataSource):
     """``spark.read.format("harrow_feed")``: keyword, xml, error: the feed that answers each keyword's search, or why none does.
 
     Options: url; keywords (JSON list; without any, the whole feed); most (items a search); search=news with days (one
-    request for all keywords of the last days); fetch, timeout, attempts.
+    request for all keywords of the last days); lanes (searches under way at a time, 3), keep, fetch, timeout, attempts.
     """
 
     @classmethod
