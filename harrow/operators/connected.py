@@ -1,11 +1,8 @@
-"""Connected components of a table of links, and links found within groups by comparing blocks of their rows."""
+"""Connected components of a table of links."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from harrow.shared import checkpoint
@@ -27,39 +24,3 @@ def components(links: DataFrame) -> DataFrame:
         if after.where("next != label").isEmpty():
             return state.withColumnRenamed("label", "component")
         state = after.select("id", F.col("next").alias("label"))
-
-
-def links_in_groups(rows: DataFrame, group: str, value: Column, compare: Callable[[list, list], Iterator[tuple[int, int]]], *, block_rows: int = 512) -> DataFrame:
-    """a, b: ids of rows of one group that ``compare`` links, as a spanning forest of each two blocks' links.
-
-    ``rows`` have ``id`` and the group.  A group is cut into blocks by a hash of the id, and each two of its blocks are one
-    row of an equi-join, so a large group is many small tasks and no task holds it whole.  ``compare`` gets two lists of
-    values, the same list twice for a block with itself, and yields linked positions.
-    """
-    kind = rows.schema["id"].dataType.simpleString()
-    counts = rows.groupBy(group).agg(F.ceil(F.count("*") / block_rows).cast("int").alias("_blocks"))
-    dealt = rows.join(counts, group).withColumn("_block", F.pmod(F.xxhash64("id"), F.col("_blocks")).cast("int"))
-    packed = dealt.groupBy(group, "_block").agg(F.collect_list(F.struct("id", value.alias("value"))).alias("items"), F.first("_blocks").alias("_blocks"))
-    left = packed.select(group, F.col("_block").alias("x"), F.explode(F.sequence("_block", F.col("_blocks") - 1)).alias("y"), F.col("items").alias("left"))
-    right = packed.select(group, F.explode(F.sequence(F.lit(0), F.col("_block"))).alias("x"), F.col("_block").alias("y"), F.col("items").alias("right"))
-
-    def forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for xs, ys in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                parent: dict = {}
-
-                def root(i, parent=parent):
-                    while (p := parent.setdefault(i, i)) != i:
-                        parent[i] = p = parent[p]
-                        i = p
-                    return i
-
-                out = []
-                for i, j in compare([x["value"] for x in xs], [y["value"] for y in ys]):
-                    a, b = xs[i]["id"], ys[j]["id"]
-                    if (ra := root(a)) != (rb := root(b)):
-                        parent[ra] = rb
-                        out.append((a, b))
-                yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], batch.schema.field(0).type.value_type.field(0).type) for k in (0, 1)], names=["a", "b"])
-
-    return left.join(right, [group, "x", "y"]).select("left", "right").mapInArrow(forest, f"a {kind}, b {kind}")

@@ -99,23 +99,54 @@ def test_briefings_in_html_are_read(spark):
     assert list(row) == ["개요 문장\n둘째 줄\n셋째", "a & b\nplain", "a\n\nb"]
 
 
-def test_large_days_are_compared_in_blocks(spark):
-    """Links found block by block join the same titles as all pairs do."""
+@pytest.mark.parametrize("mode", ["set", "bag", "blocks"])
+def test_large_days_are_compared_in_blocks(spark, mode):
+    """Links found block by block, with bounds, join the same titles as all pairs do; few pairs are compared."""
     import random
 
+    from harrow.operators import connected, near_titles
+
     rng = random.Random(3)
-    kinds = ["".join(rng.choice("abcdefghijklmnop") for _ in range(30)) for _ in range(40)]
-    titles = [k[: rng.randint(0, 3)] + "z" * rng.randint(0, 2) + k[3:] for k in kinds for _ in range(5)]
-    news = spark.createDataFrame([(i, "2024-01-01", t, i) for i, t in enumerate(titles)], "id long, published_at string, title string, seq long")
-    from pyspark.sql import functions as S
-
-    from harrow.functions import text as T
-    from harrow.operators import connected
-
-    rows = news.select("id", "published_at", T.normalized_title(S.col("title")).alias("t"))
-    small = connected.components(connected.links_in_groups(rows, "published_at", S.col("t"), documents.alike_titles("set"), block_rows=16))
-    whole = connected.components(connected.links_in_groups(rows, "published_at", S.col("t"), documents.alike_titles("set"), block_rows=10_000))
-    assert {tuple(r) for r in small.collect()} == {tuple(r) for r in whole.collect()} and small.count() > 100
+    words = [["".join(rng.choice(letters) for _ in range(rng.randint(2, 6))) for _ in range(300)] for letters in ("abcdefgh", "ijklmnop", "가나다라마바")]
+    kinds = ["".join(rng.choices(rng.choice(words), k=rng.randint(1, 9))) for _ in range(150)]
+    titles = {k[: rng.randint(0, 3)] + "z" * rng.randint(0, 2) + k[rng.randint(2, 5) :] for k in kinds for _ in range(4)} | {k[len(k) // 3 :] for k in kinds} | {"a", "aa"}
+    days = [(i, f"d{i % 7 and 1}", t) for i, t in enumerate(sorted(titles))]
+    rows = spark.createDataFrame(days, "id long, day string, t string")
+    tally = spark.sparkContext.accumulator(0)
+    small, whole = ({tuple(r) for r in connected.components(near_titles.links(rows, "day", mode, tally=tally, **o)).collect()} for o in ({"block": 16, "to_pivot": 60}, {}))
+    parent = list(range(len(days)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    e = [near_titles.elements(t, mode) for *_, t in days]
+    for i, (_, day, t) in enumerate(days):
+        for j in range(i):
+            if days[j][1] == day and near_titles.alike(t, days[j][2], e[i], e[j]):
+                parent[max(root(i), root(j))] = min(root(i), root(j))
+    linked = {root(i) for i in range(len(days)) if root(i) != i}
+    assert small == whole == {(i, root(i)) for i in range(len(days)) if root(i) in linked} and len(small) > 100
+    assert tally.value < 0.2 * len(days) ** 2  # of both runs together
+
+
+def test_bounds_hold_for_odd_titles():
+    """What bounds say can't be alike isn't."""
+    import random
+
+    from harrow.operators import near_titles as N
+
+    rng = random.Random(4)
+    titles = ["".join(rng.choices("ab가1", k=rng.randint(1, 40))) for _ in range(120)] + ["x", "x" * 14, "x" * 25, "xy" * 9]
+    for mode in ("set", "bag", "blocks"):
+        t = N.Titles(titles, mode)
+        for i in range(len(titles)):
+            may = t.may_be_alike(i, t)
+            for j in range(len(titles)):
+                if N.alike(titles[i], titles[j], t.elements[i], t.elements[j]):
+                    assert may[j]
+                    assert N.Titles([titles[i]], mode).may_reach(N.Titles([titles[j], "q"], mode).summary())
 
 
 def test_lanes_and_pages(spark):
