@@ -1,6 +1,6 @@
 """Daily quotes (date, symbol, open, high, low, close, volume, trade_value, ...): windows, ranges, changes.
 
-All windows run by symbol; a symbol's series is one row a day, so a task holds some thousand rows of it.
+Windows run by symbol and range (``series``), so a task holds a part of a symbol's series only.
 """
 
 from __future__ import annotations
@@ -10,14 +10,20 @@ from pyspark.sql import functions as F
 
 from harrow.functions import market
 from harrow.functions.parsing import clean_number, number
+from harrow.operators import series
 
 DAYS = {"1M": 31, "3M": 93, "6M": 186, "1Y": 366}
 #: Sums of decimals don't depend on their order.
 EXACT = "decimal(18,2)"
 
 
-def by_date() -> WindowSpec:
-    return Window.partitionBy("symbol").orderBy("date")
+#: Days of a range for frames of a year.
+YEARS = 4 * 366
+
+
+def in_chunk() -> WindowSpec:
+    """The rows of a symbol's chunk, as ``series.in_chunks`` deals them."""
+    return Window.partitionBy("symbol", "_chunk").orderBy("_n")
 
 
 def vendor_rows(rows: DataFrame, name: str, close: str, symbol: str = "", prefix: str = "KAU") -> DataFrame:
@@ -31,13 +37,14 @@ def valid_quotes(quotes: DataFrame) -> DataFrame:
     return quotes.where(F.col("date").rlike(r"^\d{4}-\d{2}-\d{2}$") & (F.col("close") > 0))
 
 
-def daily_change(quotes: DataFrame, *, vendor_first: bool) -> DataFrame:
+def daily_change(quotes: DataFrame, *, vendor_first: bool, chunk: int = series.CHUNK) -> DataFrame:
     """change and change_rate against the symbol's previous close.
 
     ``vendor_first``: the vendor's figures count where they are given.  Else the previous close's do, and without one the
     vendor's change takes the sign of its rate.
     """
-    prior = F.lag("close").over(by_date())
+    led = series.in_chunks(quotes, "symbol", "date", 1, size=chunk).withColumn("_prior", F.lag("close").over(in_chunk())).where("_own")
+    prior = F.col("_prior")
     rate = (F.col("close") / F.nullif(prior, F.lit(0.0)) - 1) * 100
     vendor, vendor_rate = F.col("vendor_change"), F.col("vendor_rate")
     if vendor_first:
@@ -46,19 +53,20 @@ def daily_change(quotes: DataFrame, *, vendor_first: bool) -> DataFrame:
         signed = F.when(vendor_rate < 0, -F.abs(vendor)).when(vendor_rate.isNotNull(), F.abs(vendor)).otherwise(vendor)
         change = F.when(prior.isNotNull(), F.col("close") - prior).otherwise(signed)
         rate = F.when(prior.isNotNull(), F.coalesce(rate, F.lit(0.0))).otherwise(vendor_rate)
-    return quotes.withColumns({"change": clean_number(change), "change_rate": clean_number(rate)})
+    return led.withColumns({"change": clean_number(change), "change_rate": clean_number(rate)}).drop("_prior", "_n", "_chunk", "_own")
 
 
-def market_pulse(quotes: DataFrame) -> DataFrame:
+def market_pulse(quotes: DataFrame, *, chunk: int = series.CHUNK) -> DataFrame:
     """Trailing-20-row figures of each row: price position, distance to the mean, volume ratio and rank, supply labels."""
-    recent, before = by_date().rowsBetween(-19, 0), by_date().rowsBetween(-20, -1)
+    recent, before = in_chunk().rowsBetween(-19, 0), in_chunk().rowsBetween(-20, -1)
+    led = series.in_chunks(quotes, "symbol", "date", 20, size=chunk)
     mean = lambda c, w: F.sum(F.col(c).cast(EXACT)).over(w).cast("double") / F.count(c).over(w)
-    windows = quotes.withColumns({
+    windows = led.withColumns({
         "samples": F.count("*").over(recent).cast("int"),
         "_high": F.max("close").over(recent), "_low": F.min("close").over(recent),
         "_mean": mean("close", recent), "_volume": mean("volume", before),
         "_volumes": F.collect_list("volume").over(recent),
-    })
+    }).where("_own").drop("_n", "_chunk", "_own")
     span = F.nullif(F.col("_high") - F.col("_low"), F.lit(0.0))
     rank = 1 + F.size(F.filter("_volumes", lambda v: v > F.col("volume")))
     figures = windows.withColumns({
@@ -80,11 +88,11 @@ def market_pulse(quotes: DataFrame) -> DataFrame:
     return figures.withColumns(labels).drop("_high", "_low", "_mean", "_volume", "_volumes")
 
 
-def year_range(quotes: DataFrame) -> DataFrame:
+def year_range(quotes: DataFrame, *, span: int = YEARS) -> DataFrame:
     """Highest and lowest price of the last 366 calendar days, and the close's place between them (2 to 98)."""
-    w = Window.partitionBy("symbol").orderBy(F.unix_date("date")).rangeBetween(-366, 0)
+    w = Window.partitionBy("symbol", "_range").orderBy(F.unix_date("date")).rangeBetween(-366, 0)
     price = lambda c: F.coalesce(F.nullif(c, F.lit(0.0)), F.col("close"))
-    ranged = quotes.withColumns({"year_high": F.max(price("high")).over(w), "year_low": F.min(price("low")).over(w)})
+    ranged = series.in_spans(quotes, "symbol", "date", 366, span=span).withColumns({"year_high": F.max(price("high")).over(w), "year_low": F.min(price("low")).over(w)}).where("_own").drop("_range", "_own")
     place = (F.col("close") - F.col("year_low")) / F.greatest(F.col("year_high") - F.col("year_low"), F.lit(1.0)) * 100
     return ranged.withColumn("marker", F.greatest(F.lit(2.0), F.least(F.lit(98.0), place)))
 
@@ -93,8 +101,8 @@ def in_period(quotes: DataFrame, period: str) -> DataFrame:
     """Rows of the last days before each symbol's last date; all of them for ALL or a symbol of one row."""
     if period == "ALL":
         return quotes
-    w = Window.partitionBy("symbol")
-    marked = quotes.withColumns({"_end": F.max("date").over(w), "_n": F.count("*").over(w)})
+    ends = quotes.groupBy("symbol").agg(F.max("date").alias("_end"), F.count("*").alias("_n"))
+    marked = series.joined(quotes, ends, ["symbol"])
     return marked.where((F.col("_n") < 2) | (F.datediff("_end", "date") <= DAYS[period])).drop("_end", "_n")
 
 
@@ -122,15 +130,14 @@ def first_day_with_rows(quotes: DataFrame, day: str, back: int = 15) -> DataFram
     return near.join(F.broadcast(near.agg(F.max("date").alias("date"))), "date")
 
 
-def date_axis(quotes: DataFrame, dates: DataFrame) -> DataFrame:
+def date_axis(quotes: DataFrame, dates: DataFrame, *, span: int = series.SPAN) -> DataFrame:
     """Each (symbol, day) of ``dates`` with its place on the symbol's axis of trading days, interpolated between them;
-    days outside are put at the ends.  A day meets one pair of neighbours: it is placed by a union and two windows."""
-    axis = quotes.select("symbol", F.col("date").alias("day"), (F.row_number().over(by_date()) - 1).cast("double").alias("place"))
+    days outside are put at the ends.  A day meets one pair of neighbours, so it is placed by a union and two scans."""
+    axis = series.with_ordinal(quotes.select("symbol", F.col("date").alias("day")), "symbol", "day", "place", span=span).withColumn("place", F.col("place").cast("double"))
     both = axis.withColumn("_asked", F.lit(False)).unionByName(dates.select("symbol", "day").withColumns({"place": F.lit(None).cast("double"), "_asked": F.lit(True)}))
-    at = F.when(F.col("place").isNotNull(), F.struct("day", "place"))
-    up = Window.partitionBy("symbol").orderBy("day", F.col("_asked")).rowsBetween(Window.unboundedPreceding, 0)
-    down = Window.partitionBy("symbol").orderBy(F.desc("day"), F.col("_asked")).rowsBetween(Window.unboundedPreceding, 0)
-    near = both.withColumns({"_left": F.last(at, ignorenulls=True).over(up), "_right": F.last(at, ignorenulls=True).over(down)}).where("_asked")
+    at = both.withColumn("_at", F.when(F.col("place").isNotNull(), F.struct("day", "place")))
+    left = series.last_before(at, "symbol", "day", [F.col("day"), F.col("_asked")], "_at", "_left", span=span)
+    near = series.last_before(left, "symbol", "day", [F.desc("day"), F.col("_asked")], "_at", "_right", span=span, forward=True).where("_asked")
     days = lambda a, b: F.datediff(a, b).cast("double")
     between = F.col("_left.place") + (F.col("_right.place") - F.col("_left.place")) * days(F.col("day"), F.col("_left.day")) / F.greatest(days(F.col("_right.day"), F.col("_left.day")), F.lit(1.0))
     placed = F.when(F.col("_left").isNull(), F.col("_right.place")).when(F.col("_right").isNull(), F.col("_left.place")).otherwise(between)
@@ -154,8 +161,8 @@ def year_slices(spans: DataFrame, start: Column, end: Column) -> DataFrame:
 
 def chart_scale(quotes: DataFrame, *, least_top: float = 30000.0, most_bottom: float = 20000.0) -> DataFrame:
     """x by trading day and y by price, in parts of a symbol's chart, whose price range is padded by 16 % or 800."""
-    whole = Window.partitionBy("symbol")
-    ranged = quotes.withColumns({"_hi": F.max("high").over(whole), "_lo": F.min("low").over(whole), "_i": F.row_number().over(by_date()) - 1, "_n": F.count("*").over(whole)})
+    ends = quotes.groupBy("symbol").agg(F.max("high").alias("_hi"), F.min("low").alias("_lo"), F.count("*").alias("_n"))
+    ranged = series.joined(series.with_ordinal(quotes, "symbol", "date", "_i"), ends, ["symbol"])
     pad = F.greatest((F.col("_hi") - F.col("_lo")) * 0.16, F.lit(800.0))
     top, bottom = F.greatest(F.lit(least_top), F.col("_hi") + pad), F.least(F.lit(most_bottom), F.greatest(F.lit(0.0), F.col("_lo") - pad))
     placed = ranged.withColumns({"x": F.col("_i") / F.greatest(F.col("_n") - 1, F.lit(1)), "y": (top - F.col("close")) / F.greatest(top - bottom, F.lit(1.0))})

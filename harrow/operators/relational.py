@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from harrow.operators import series
+
 
 def last_wins(rows: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """Of each key the row that comes last in ``order``.  Tasks keep one row a key before the shuffle."""
@@ -26,18 +28,16 @@ def replace_by(stored: DataFrame, updates: DataFrame, key: str) -> DataFrame:
     return stored.join(updates.select(key).distinct(), key, "left_anti").unionByName(updates)
 
 
-def asof_backward(left: DataFrame, right: DataFrame, *, by: str, on: str, value: str, name: str, strict: bool) -> DataFrame:
-    """Left rows with the last right ``value`` of the same ``by`` at or (if not strict) before ``on``.
+def asof_backward(left: DataFrame, right: DataFrame, *, by: str, on: str, value: str, name: str, strict: bool, span: int = series.SPAN) -> DataFrame:
+    """Left rows with the last right ``value`` of the same ``by`` at or (if ``strict``, only) before ``on``.
 
-    Both sides are sorted once together by key: one shuffle, no pairs are made.
+    Both sides are sorted once together by key and range of ``on``: no pairs are made, and no task holds a key whole.
     """
-    before, after = (1, 0) if strict else (0, 1)
     cols = left.columns
-    l = left.select(F.struct(*cols).alias("_row"), F.col(by), F.col(on), F.lit(after if not strict else 0).alias("_side"), F.lit(None).cast(right.schema[value].dataType).alias("_value"))  # noqa: E741
-    r = right.select(F.lit(None).cast(l.schema["_row"].dataType).alias("_row"), F.col(by), F.col(on), F.lit(before if strict else 0).alias("_side"), F.col(value).alias("_value"))
-    w = Window.partitionBy(by).orderBy(on, "_side").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    joined = l.unionByName(r).withColumn("_found", F.last("_value", ignorenulls=True).over(w))
-    return joined.where(F.col("_row").isNotNull()).select("_row.*", F.col("_found").alias(name))
+    l = left.select(F.struct(*cols).alias("_row"), F.col(by), F.col(on), F.lit(0 if strict else 1).alias("_side"), F.lit(None).cast(right.schema[value].dataType).alias("_value"))  # noqa: E741
+    r = right.select(F.lit(None).cast(l.schema["_row"].dataType).alias("_row"), F.col(by), F.col(on), F.lit(1 if strict else 0).alias("_side"), F.col(value).alias("_value"))
+    found = series.last_before(l.unionByName(r), by, on, [F.col(on), F.col("_side")], "_value", "_found", span=span)
+    return found.where(F.col("_row").isNotNull()).select("_row.*", F.col("_found").alias(name))
 
 
 def balanced_top(rows: DataFrame, *, limit: int, news_limit: int, order: Sequence[Column]) -> DataFrame:

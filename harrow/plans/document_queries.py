@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from harrow.functions import text as T
 from harrow.operators import briefings as B
+from harrow.operators import keywords as K
 from harrow.operators import documents as D
 from harrow.operators import relational
 from harrow.plans import proxies as P
@@ -41,6 +42,18 @@ def q_keyword_excerpt(spark, sf_dir):
     return matched(spark, sf_dir).select("id", F.col("summary").alias("excerpt"))
 
 
+TABLE_WORDS = r"""w AS (SELECT DISTINCT lower(unnest(regexp_extract_all(text, '[A-Za-z]{6,9}'))) AS keyword FROM benchmark)"""
+
+
+@query(f"""WITH {P.DOCUMENTS}, {TABLE_WORDS} SELECT id, count(keyword) AS n, coalesce(md5(string_agg(keyword, ',' ORDER BY keyword)), md5('')) AS keywords FROM docs LEFT JOIN w ON contains(lower(title || ' ' || summary), keyword) GROUP BY id""")
+def q_keyword_table(spark, sf_dir):
+    """All keywords of a table, the words of the benchmark, that each document's title and summary hold."""
+    words = P.table(spark, sf_dir, "benchmark").select(F.explode(F.regexp_extract_all("text", F.lit("[A-Za-z]{6,9}"), F.lit(0))).alias("keyword"))
+    listed = words.select(F.lower("keyword").alias("keyword")).distinct().select("keyword", F.col("keyword").alias("place"))
+    found = K.table_matches(P.documents(spark, sf_dir), D.material(F.col("title"), F.col("summary")), listed)
+    return found.select("id", F.size("matched_keywords").cast("long").alias("n"), F.md5(F.array_join("matched_keywords", ",").cast("binary")).alias("keywords"))
+
+
 @query(f"""WITH {P.DOCUMENTS}, h AS (SELECT id, url, unnest({WORDS}) AS keyword, unnest([1, 2, 3, 4, 5]) AS n, text FROM docs), f AS (SELECT url, id, keyword, id * 10 + n AS seq FROM h WHERE contains(lower(text), keyword)),
   o AS (SELECT url, keyword, min(seq) AS seq FROM f GROUP BY ALL) SELECT url, min(seq // 10) AS first_id, string_agg(keyword, ',' ORDER BY seq) AS keywords FROM o GROUP BY url""")
 def q_keyword_merge(spark, sf_dir):
