@@ -1,4 +1,4 @@
-"""Writers of tables and of single JSON documents."""
+"""Writers of tables and of single documents."""
 
 from __future__ import annotations
 
@@ -7,6 +7,7 @@ import json
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from harrow.sources.documents import write_lines
 from harrow.sources.readers import Settings
 
 
@@ -16,23 +17,9 @@ def write_quotes(quotes: DataFrame, path: str) -> None:
 
 
 def write_quotes_csv(quotes: DataFrame, path: str) -> None:
-    """One CSV file in the order of date and symbol, with a byte order mark: an export for people, who open it as a whole."""
-    first, *rest = quotes.columns
-    named = quotes.withColumnRenamed(first, f"\ufeff{first}")
-    named.repartition(1).sortWithinPartitions(*(f"\ufeff{c}" if c == first else c for c in ("date", "symbol"))).write.mode("overwrite").csv(path, header=True)
-
-
-def document(items: DataFrame, order: list[Column], **fields: Column) -> DataFrame:
-    """One row, ``value``: a JSON document of the fields and all items in order.  For results of bounded size."""
-    ranked = items.select(F.struct(F.row_number().over(_whole(order)).alias("n"), F.struct(*items.columns).alias("item")).alias("x"))
-    rows = ranked.agg(F.transform(F.sort_array(F.collect_list("x")), lambda x: x["item"]).alias("items"))
-    return rows.select(F.to_json(F.struct(*(v.alias(k) for k, v in fields.items()), "items"), {"ignoreNullFields": "false"}).alias("value"))
-
-
-def _whole(order: list[Column]):
-    from pyspark.sql import Window
-
-    return Window.partitionBy(F.lit(1)).orderBy(*order)
+    """One CSV file in the order of date and symbol, with a byte order mark, of any size."""
+    head = "\ufeff" + ",".join(quotes.columns) + "\n"
+    write_lines(quotes, F.to_csv(F.struct(*quotes.columns)), [F.col("date"), F.col("symbol")], path, name="part-00000.csv", head=head.encode(), tail=b"\n" if not quotes.isEmpty() else b"")
 
 
 def write_settings(spark: SparkSession, settings: Settings, path: str) -> None:
@@ -42,4 +29,8 @@ def write_settings(spark: SparkSession, settings: Settings, path: str) -> None:
 
 
 def write_document(items: DataFrame, path: str, order: list[Column], **fields: Column) -> None:
-    document(items, order, **fields).write.mode("overwrite").text(path)
+    """One JSON document of the fields and all items in order, of any size."""
+    nulls = {"ignoreNullFields": "false"}
+    envelope = items.sparkSession.range(1).select(F.to_json(F.struct(*(v.alias(k) for k, v in fields.items())), nulls)).first()[0] if fields else "{}"
+    head = envelope[:-1] + ("," if fields else "") + '"items":['
+    write_lines(items, F.to_json(F.struct(*items.columns), nulls), order, path, name="part-00000.json", head=head.encode(), between=b",\n", tail=b"]}\n")

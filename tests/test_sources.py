@@ -269,6 +269,27 @@ def test_exports(spark, tmp_path):
     assert readers.read_settings(spark, str(tmp_path / "s")) == settings
 
 
+def test_documents_of_many_parts(spark, tmp_path):
+    """Order and envelope are those of one task's work; a failed job leaves the document that was there, and nothing else."""
+    import json
+
+    items = spark.range(5000).select(F.concat(F.lit("2024-"), F.col("id") % 97).alias("date"), F.format_string("S\"%d\n", "id").alias("symbol"), F.when(F.col("id") % 3 > 0, F.col("id") / 7).alias("close")).repartition(6)
+    out, order = str(tmp_path / "d"), [F.desc("date"), F.col("symbol")]
+    sinks.write_document(items, out, order, lastSync=F.lit("t"), warning=F.lit(None).cast("string"))
+    (part,) = (tmp_path / "d").iterdir()
+    whole = json.loads(part.read_text())
+    assert list(whole) == ["lastSync", "warning", "items"] and whole["warning"] is None
+    assert whole["items"] == [r.asDict() for r in items.orderBy(*order).collect()]
+    bad = items.withColumn("close", F.when(F.col("symbol").contains("4999"), F.raise_error(F.lit("lost")).cast("double")).otherwise(F.col("close")))
+    with pytest.raises(Exception, match="lost"):
+        sinks.write_document(bad, out, order)
+    assert json.loads(part.read_text()) == whole
+    sinks.write_document(items.where("false"), out, order)
+    assert json.loads(part.read_text()) == {"items": []}
+    sinks.write_quotes_csv(items.where("false"), str(tmp_path / "c"))
+    assert (tmp_path / "c" / "part-00000.csv").read_text() == "\ufeffdate,symbol,close\n"
+
+
 def test_keyword_paths_stay_below_their_root(spark, tmp_path):
     (tmp_path / "k.txt").write_text("a, b\n")
     assert readers.read_keywords(spark, "k.txt", root=str(tmp_path)) == ["a", "b"]
