@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from harrow.functions import market
+from harrow.operators.checks import write_checked
 from harrow.functions.parsing import clean_number, number
 from harrow.operators.quotes import DAYS
 from harrow.operators.relational import asof_backward, last_wins
@@ -58,6 +59,18 @@ def history_guard(auctions: DataFrame, *, oldest: str, symbols: int) -> DataFram
     return found.withColumn("complete", F.coalesce((F.col("first_date") <= F.lit(oldest).cast("date")) & (F.col("symbols") >= symbols), F.lit(False)))
 
 
+def publish_history(auctions: DataFrame, path: str, *, oldest: str, symbols: int) -> dict:
+    """Writes the auctions in one pass: valid rows, and beside them the others with the rules that they break.  If the valid
+    rows' history is incomplete nothing is published and what was there stays."""
+    rules = {"date": F.col("date").cast("string").rlike(r"^\d{4}-\d{2}-\d{2}$"), "symbol": F.coalesce("symbol", F.lit("")) != "", "offered": F.col("offered_quantity") > 0}
+
+    def incomplete(found: dict) -> str | None:
+        first, n = found["least date"], found["distinct symbol"]
+        return None if first is not None and str(first) <= oldest and n >= symbols else f"auction history is incomplete: from {first}, {n} symbols"
+
+    return write_checked(auctions, rules, path, facts={"least date": F.col("date"), "distinct symbol": F.col("symbol")}, guard=incomplete)
+
+
 def require_history(auctions: DataFrame, *, oldest: str, symbols: int) -> DataFrame:
     """The auctions; an error if their history is incomplete."""
     row = history_guard(auctions, oldest=oldest, symbols=symbols).first()

@@ -36,3 +36,10 @@ def new_path(spark: SparkSession, name: str) -> str:
 def delete(spark: SparkSession, path: str) -> None:
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
+def rename(spark: SparkSession, path: str, new: str) -> None:
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = hadoop(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.rename(hadoop(path), hadoop(new)):
+        raise OSError(f"{path} can't be moved to {new}")
