@@ -173,7 +173,9 @@ def mix_documents(sized: DataFrame, dealt: DataFrame, *, seed: int = SEED, most_
     if (dealt.agg(F.sum(F.coalesce(F.size("firsts"), F.lit(0)) + 10).alias("n")).first()["n"] or 0) <= most_broadcast:
         facts = F.broadcast(facts)
     # What a row needs for its offset only goes through the shuffle; the facts of its source join once more after it.
-    small = sized.drop("source_size", "target", "taken", "pieces", "ordinal", "buckets")
+    # The input row is one column, so no name of its columns meets one of those made here.
+    given = [c for c in sized.columns if c not in ("source_size", "target", "taken", "pieces")]
+    small = sized.select(F.struct(*given).alias("_row"), "source", "size", "place")
     placed = small.join(facts.select("_s", "ordinal", "buckets"), F.col("source").eqNullSafe(F.col("_s"))).drop("_s").withColumn("_bucket", F.pmod(F.shiftright("place", 20), F.col("buckets")))
     # A bucket's offset in its source's stream: a running sum over the source's buckets.
     ahead = Window.partitionBy("ordinal").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -200,4 +202,4 @@ def mix_documents(sized: DataFrame, dealt: DataFrame, *, seed: int = SEED, most_
     pieces = F.flatten(F.transform(turns, lambda turn: F.transform(own, lambda block: piece(turn, block))))
     found = ordered.withColumn("pieces", F.filter(pieces, lambda p: p["n_words"] > 0))
     total = F.aggregate("pieces", F.lit(0).cast("long"), lambda s, p: s + p["n_words"])
-    return found.withColumn("taken", total).drop("_at", "_start", "_before", "_bucket", "buckets", "ordinal", "block_words", "n_blocks", "draws", "last_words", "step", "firsts")
+    return found.select("_row.*", "source_size", "target", "pieces", total.alias("taken"))

@@ -242,4 +242,5 @@ def score_documents(docs: DataFrame, model: Model, *, text: str = "text", thresh
 
 
 def held_out(key: Column) -> Column:
-    return F.pmod(F.crc32(key.cast("string").cast("binary")), F.lit(5)) == 0
+    """Whether a row stays out of training; a null id counts as empty text, which does."""
+    return F.pmod(F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")), F.lit(5)) == 0

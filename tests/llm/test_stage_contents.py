@@ -82,6 +82,7 @@ def odd(spark):
     """Null and repeated ids, with columns named like the operators' outputs."""
     rows = spark.createDataFrame(ROWS, "doc_id long, text string, source string")
     names = ("score", "predicted", "n_tokens", "n_bytes", "over_limit", "digest", "target", "taken", "pieces", "source_size", "ids", "decoded", "n_shingles", "component_id")
+    names += ("draws", "block_words", "n_blocks", "last_words", "step", "firsts", "ordinal", "buckets", "weight", "level", "cap", "_at", "_bucket", "_row", "id", "h", "key", "links", "audit", "start")
     return rows.withColumns({n: F.lit("old") for n in names})
 
 
@@ -107,6 +108,24 @@ def test_odd_rows_are_mixed(odd):
     sized = mixing.with_size(odd)
     out = mixing.mix_documents(sized, mixing.deal(mixing.mix_sources(sized))).collect()
     assert sorted(r["size"] for r in out) == [0, 0, 2, 3, 3, 3] and all(0 <= r["taken"] <= 2 * r["size"] for r in out)
+    assert all(r["draws"] == r["firsts"] == r["_row"] == "old" and r["target"] != "old" for r in out)
+
+
+def test_odd_rows_pass_the_stages(spark, odd):
+    """Every stage but the last returns the columns that it got, whatever their names."""
+    import corpus_pipeline as P
+
+    docs = odd.select("doc_id", "text", F.lit("en").alias("lang"), "source", F.lit(0).cast("long").alias("n_chars"), "draws", "firsts", "h", "id", "pieces", "_row").checkpoint()
+    for stage in (P.one_of_each, P.without_passages, P.mixture):
+        out = stage(spark, docs, SMALL)
+        assert [(f.name, f.dataType) for f in out.schema] == [(f.name, f.dataType) for f in docs.schema] and out.count() > 0
+    assert P.encode(spark, docs, SMALL).count() == 6
+
+
+def test_odd_rows_are_held_out(odd):
+    from harrow.llm import quality
+
+    assert {(r["doc_id"], r["out"]) for r in odd.select("doc_id", quality.held_out(F.col("doc_id")).alias("out")).collect()} == {(None, True), (1, False), (2, False)}
 
 
 def test_odd_rows_are_encoded(odd):
