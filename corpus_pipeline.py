@@ -70,7 +70,8 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     joined by one space.
     """
     begin(spark)
-    sized = mixing.with_size(docs)
+    others = [c for c in docs.columns if c != "text"]
+    sized = mixing.with_size(docs.select("doc_id", "text", "source", F.struct(*others).alias("_given")))
     mixed = mixing.mix_documents(sized, mixing.deal(mixing.mix_sources(sized)))
 
     def parts(words: Column | None) -> Column:
@@ -80,8 +81,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     cut = mixing.let(F.regexp_extract_all("text", F.lit(mixing.WORD), 0), parts)
     taken = F.when(F.exists("pieces", lambda p: p["n_words"] < F.col("size")), cut).otherwise(parts(None))
-    others = [c for c in docs.columns if c != "text"]
-    rows = mixed.select(*others, F.col("place").alias("_in_source"), F.explode(taken).alias("_part")).withColumn("text", F.col("_part.text"))
+    rows = mixed.select("_given.*", F.col("place").alias("_in_source"), F.explode(taken).alias("_part")).withColumn("text", F.col("_part.text"))
     order = ("_part.shard", "_part.place", "_part.draw", "_in_source", "_part.from_word")
     # By range, so that tasks are alike in size however few and large the shards are.
     return with_text(rows.repartitionByRange(*order).sortWithinPartitions(*order), F.col("text"), docs.columns)
