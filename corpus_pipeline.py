@@ -27,9 +27,10 @@ def begin(spark: SparkSession) -> None:
     small_batches(spark)
 
 
-def with_text(docs: DataFrame, text, columns: list[str]) -> DataFrame:
-    """The documents' columns with another text and its length."""
-    return docs.withColumn("text", text).withColumn("n_chars", F.coalesce(F.char_length("text"), F.lit(0)).cast("long")).select(*columns)
+def with_text(rows: DataFrame, text: Column, columns: list[str]) -> DataFrame:
+    """The documents' columns, which the rows have in ``_doc``, with another text and its length."""
+    new = {"text": text, "n_chars": F.coalesce(F.char_length(text), F.lit(0)).cast("long")}
+    return rows.select(*(new.get(c, F.col("_doc").getField(c)).alias(c) for c in columns))
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,24 +44,25 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates the row of the smallest id, then of the smallest hashes of its text and of all its
     columns.  Rows without an id come after those with one; texts without words are no duplicates."""
     begin(spark)
-    rows = docs.withColumns({"_h": F.xxhash64("text"), "_row": F.xxhash64(*docs.columns)})
-    texts = jaccard_join.near_duplicates(rows, key="_h").where("n_shingles > 0").groupBy("_h", "component_id").count()
+    rows = docs.select(F.struct(*docs.columns).alias("_doc"), "doc_id", F.xxhash64("text").alias("_h"), F.xxhash64(*docs.columns).alias("_row"))
+    texts = jaccard_join.near_duplicates(docs.select("text", F.xxhash64("text").alias("_h")), key="_h").where("n_shingles > 0").groupBy("_h", "component_id").count()
     texts = checkpoint(texts.where("count > 1 or _h != component_id").select("_h", "component_id"))
     grouped = checkpoint(texts.union(texts.select("component_id", "component_id")).distinct())
     maybe, alone = among(rows, grouped, ["_h"])
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "_h", "_row")
     first = checkpoint(maybe.select("doc_id", "_h", "_row").join(grouped, "_h").groupBy("component_id").agg(F.min(order).alias("first")).select("first._h", "first._row"))
     kept = maybe.join(first, ["_h", "_row"], "left_semi").dropDuplicates(["_h", "_row"])
-    return alone.unionByName(maybe.join(grouped, "_h", "left_anti")).unionByName(kept).select(*docs.columns)
+    return alone.unionByName(maybe.join(grouped, "_h", "left_anti")).unionByName(kept).select("_doc.*")
 
 
 def without_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the words of passages that occur elsewhere."""
     begin(spark)
     changed = stored(substring_dedup.without_repeats(docs).select("id", "h", "kept"), "kept")
-    maybe, whole = among(docs.withColumns({"id": substring_dedup.row_id("doc_id", "text"), "h": F.xxhash64("text")}), changed, ["id", "h"])
-    cut = with_text(maybe.join(changed, ["id", "h"], "left"), F.coalesce("kept", "text"), docs.columns)
-    return cut.unionByName(with_text(whole, F.col("text"), docs.columns))
+    keyed = docs.select(F.struct(*docs.columns).alias("_doc"), substring_dedup.row_id("doc_id", "text").alias("id"), F.xxhash64("text").alias("h"))
+    maybe, whole = among(keyed, changed, ["id", "h"])
+    cut = with_text(maybe.join(changed, ["id", "h"], "left"), F.coalesce("kept", "_doc.text"), docs.columns)
+    return cut.unionByName(with_text(whole, F.col("_doc.text"), docs.columns))
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -71,7 +73,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     begin(spark)
     others = [c for c in docs.columns if c != "text"]
-    sized = mixing.with_size(docs.select("doc_id", "text", "source", F.struct(*others).alias("_given")))
+    sized = mixing.with_size(docs.select("doc_id", "text", "source", F.struct(*others).alias("_doc")))
     mixed = mixing.mix_documents(sized, mixing.deal(mixing.mix_sources(sized)))
 
     def parts(words: Column | None) -> Column:
@@ -81,10 +83,10 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     cut = mixing.let(F.regexp_extract_all("text", F.lit(mixing.WORD), 0), parts)
     taken = F.when(F.exists("pieces", lambda p: p["n_words"] < F.col("size")), cut).otherwise(parts(None))
-    rows = mixed.select("_given.*", F.col("place").alias("_in_source"), F.explode(taken).alias("_part")).withColumn("text", F.col("_part.text"))
+    rows = mixed.select("_doc", F.col("place").alias("_in_source"), F.explode(taken).alias("_part"))
     order = ("_part.shard", "_part.place", "_part.draw", "_in_source", "_part.from_word")
     # By range, so that tasks are alike in size however few and large the shards are.
-    return with_text(rows.repartitionByRange(*order).sortWithinPartitions(*order), F.col("text"), docs.columns)
+    return with_text(rows.repartitionByRange(*order).sortWithinPartitions(*order), F.col("_part.text"), docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
