@@ -14,10 +14,12 @@ whose bound reaches the overlap that t asks for are verified, exactly.
 
 Which shingles are common, and how long the lists of the others are, is counted over all documents: tasks count theirs,
 and those seen twice in a part of a task are summed; lists' lengths go into ``LISTS`` cells by hash, of which the largest
-counts.  Both are a matter of cost alone; any counts give the same links.
+counts.  Of each document the first ``FIRST`` shingles are counted besides, over all tasks and once for equal documents, so
+that a group of near copies is seen however it is dealt.  All of this is a matter of cost alone; any counts give the same
+links.
 
-Sets of which too few shingles are uncommon to fill a prefix (members of very large groups of near copies, for one) are
-compared with each other in blocks, by counting shared shingles in a task, which sends on a spanning forest of the links
+Sets of which too few shingles are uncommon to fill a prefix, or several of whose first shingles are common (members of large
+groups of near copies, both), are compared with each other in blocks, by counting shared shingles in a task, which sends on a spanning forest of the links
 it finds; with all other sets they are compared as above, by all their uncommon shingles.
 
 Documents with equal word sequences are one class from the start, and only classes are compared.
@@ -52,6 +54,7 @@ from harrow.llm.word_hashes import Tally
 WORDS, ENOUGH, OF = 5, 75, 100  # linked: OF * intersection >= ENOUGH * union
 BLOCK_ROWS, BLOCK_SHINGLES = 2048, 1_000_000  # of sets that a task compares with each other
 LONGEST, LISTS = 4, 1 << 21  # matches asked for at most; cells of estimated list lengths
+FIRST, OF_FIRST = 12, 5  # first shingles that are counted over all tasks, and how many of them make a set hot
 #: Estimated costs, in units of a list's entry: of a shingle in a prefix, and of verifying a candidate, by its shingles.
 PER_SHINGLE, PER_VERIFIED = 2.0, 0.25
 MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
@@ -98,19 +101,29 @@ def counted_shingles(docs: DataFrame, text: str, over: int, most: int) -> tuple[
 
         def batch_of(found: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
             seen.clear()
-            return pa.RecordBatch.from_pydict({"shingle": pa.array(found.view(np.int64)), "n": pa.array(n.astype(np.int64))})
+            return rows_of(found.view(np.int64), n.astype(np.int64), np.zeros(len(found), np.int64))
+
+        def rows_of(found: np.ndarray, n: np.ndarray, digest: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(found), pa.array(n), pa.array(digest)], names=["shingle", "n", "digest"])
 
         for batch in batches:
+            firsts, owners = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
             for t in batch.column(0).to_pylist():
                 words = words_of(t)
                 digest = xxhash.xxh3_128_digest(b" ".join(words))
                 if words and digest not in seen:  # equal documents of a part count once
                     seen.add(digest)
-                    for full in tally.add(shingles(words)):
+                    s = shingles(words)
+                    firsts.append(s[:FIRST].astype(np.int64))
+                    owners.append(np.repeat(np.frombuffer(digest, np.int64)[:1], len(firsts[-1])))
+                    for full in tally.add(s):
                         yield batch_of(*full)
+            yield rows_of(first := np.concatenate(firsts), np.zeros(len(first), np.int64), np.concatenate(owners))
         yield batch_of(*tally.recurring())
 
-    counted = stored(docs.select(text).mapInArrow(counts, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n")), "counts")
+    # A row with a number is a part's count of a shingle; one without stands for a document that has the shingle first.
+    once = docs.select(text).mapInArrow(counts, "shingle long, n long, digest long").groupBy("shingle", "digest").agg(F.sum("n").alias("n"))
+    counted = stored(once.groupBy("shingle").agg(F.greatest(F.sum("n"), F.count(F.when(F.col("n") == 0, 1))).alias("n")), "counts")
     found = counted.where(F.col("n") > over).orderBy(F.desc("n"), "shingle").limit(most).select("shingle").toArrow().column(0).to_numpy()
     by_cell = counted.where(F.col("n") <= over).groupBy(F.col("shingle").bitwiseAND(LISTS - 1).cast("int").alias("cell")).agg(F.least(F.max("n"), F.lit(127)).cast("byte").alias("n")).toArrow()
     lists = np.ones(LISTS, np.uint8)
@@ -158,8 +171,10 @@ def prepared(docs: DataFrame, key: str, text: str, common: np.ndarray, lists: np
                     if len(seen) > 500_000:
                         seen.clear()
                     seen.add(digest)
-                    rest = s[~is_common(s, shared.value[0])]
-                    asked = 0 if len(rest) <= spared(n) else matches_to_ask(rest, n, shared.value[1])
+                    usual = is_common(s, shared.value[0])
+                    rest = s[~usual]
+                    hot = len(rest) <= spared(n) or np.count_nonzero(usual[:FIRST]) >= OF_FIRST
+                    asked = 0 if hot else matches_to_ask(rest, n, shared.value[1])
                     prefix = rest[: spared(n) + asked] if asked else rest
                     last = int(prefix[-1] >> np.uint64(1)) if asked else np.iinfo(np.int64).max
                 d1, d2 = np.frombuffer(digest, np.int64)
