@@ -39,6 +39,8 @@ STORED = 128  # buckets in a row of summed contexts
 
 
 def shape(word: str) -> str:
+    if word.isalpha() and (rest := word[1:]).islower() and rest.isalpha():  # most words, without the loop
+        return "Xx" if word[0].isupper() else "x"
     out = ""
     for c in word[:64]:
         kind = "X" if c.isupper() else "x" if c.isalpha() else "0" if c.isdigit() else c
@@ -53,11 +55,11 @@ def bucket(feature: str) -> int:
 
 def features(word: str) -> int:
     """Three buckets in one number: of the spelling, of the shape, and of the shape of a repeated word."""
-    s = shape(word)
-    return bucket("w" + word.strip(STRIP).lower()) << 32 | bucket("s" + s) << 16 | bucket("r" + s)
+    return bucket("w" + word.strip(STRIP).lower()) << 32 | _SHAPES[shape(word)]
 
 
-_FEATURES = kept_for("quality", Memo(features))
+_SHAPES = kept_for("quality", Memo(lambda s: bucket("s" + s) << 16 | bucket("r" + s)))
+_FEATURES = kept_for("quality", Memo(features, most=500_000))
 
 
 def word_buckets(text: str) -> tuple[np.ndarray, np.ndarray]:
