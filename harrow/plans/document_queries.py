@@ -294,6 +294,14 @@ def q_page_insight(spark, sf_dir):
     return D.insight(noted(spark, sf_dir), page_mode=True)
 
 
+@query(f"""WITH {P.DOCUMENTS}, s AS (SELECT id, trim(summary || ' ' || {KOREAN}) AS s, {KOREAN} AS k FROM docs)
+  SELECT id, CASE WHEN length(s) >= 40 AND NOT (regexp_matches(s, '{D.MECHANISM}') AND id % 4 <> 0) THEN CASE WHEN length(s) <= 260 THEN s ELSE rtrim(left(s, 259)) || '…' END ELSE k END AS sentence FROM s""")
+def q_accepted_insight(spark, sf_dir):
+    """Sentences, as a model might write them, that are long enough and claim no stabilisation that isn't shown; else others."""
+    rows = P.documents(spark, sf_dir).select("id", F.concat_ws(" ", "summary", korean()).alias("s"), korean().alias("k"))
+    return rows.select("id", D.accepted_insight(F.col("s"), F.col("id") % 4 == 0, F.col("k")).alias("sentence"))
+
+
 @query(f"WITH {P.DOCUMENTS} SELECT id, (row_number() OVER (PARTITION BY published_at ORDER BY id) - 1) % 3 AS lane FROM docs WHERE source_type <> 'news' AND published_at BETWEEN '2024-01-05' AND '2024-01-20'")
 def q_event_lanes(spark, sf_dir):
     """Official documents of a range of days, in three lanes a day."""
