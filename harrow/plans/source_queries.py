@@ -50,10 +50,18 @@ def q_market_day(spark, sf_dir):
     return days.where(F.col("day").rlike(r"^\d{8}$")).agg(F.max("day").alias("day"))
 
 
-@query("SELECT '2026-08-19' AS date, 'KAU25' AS symbol, 29500.0::DOUBLE AS close, 396644.0::DOUBLE AS volume")
+@query(f"""WITH {P.QUOTES}, n AS (SELECT date::VARCHAR AS date, symbol, close, volume FROM quotes WHERE close <= 0) SELECT * FROM n UNION ALL SELECT '2026-08-19', 'KAU25', 29500.0::DOUBLE, 396644.0::DOUBLE WHERE NOT EXISTS (SELECT 1 FROM n)""")
 def q_fallback_quote(spark, sf_dir):
-    """The row that stands in where no quotes can be read."""
-    return readers.fallback_quotes(spark).select("date", "symbol", "close", "volume")
+    """The row that stands in where a table has no quotes that are asked for, here those without a price."""
+    q = P.quotes(spark, sf_dir).where("close <= 0").select(F.col("date").cast("string").alias("date"), "symbol", "close", "volume")
+    return readers.or_fallback(q)
+
+
+@query(f"""WITH {P.QUOTES}, n AS (SELECT date::VARCHAR AS date, symbol, close, volume FROM quotes WHERE close > 0) SELECT * FROM n UNION ALL SELECT '2026-08-19', 'KAU25', 29500.0::DOUBLE, 396644.0::DOUBLE WHERE NOT EXISTS (SELECT 1 FROM n)""")
+def q_quotes_or_fallback(spark, sf_dir):
+    """Quotes with a price; the fallback row only if there were none."""
+    q = P.quotes(spark, sf_dir).where("close > 0").select(F.col("date").cast("string").alias("date"), "symbol", "close", "volume")
+    return readers.or_fallback(q)
 
 
 def streamed(spark, sf_dir, part, parts: int):

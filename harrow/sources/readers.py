@@ -53,6 +53,14 @@ def fallback_quotes(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([schemas.FALLBACK_QUOTE], "date string, symbol string, close double, change double, change_rate double, open double, high double, low double, volume double, trade_value double")
 
 
+def or_fallback(quotes: DataFrame) -> DataFrame:
+    """The quotes, or the fallback row where there are none."""
+    fallback = fallback_quotes(quotes.sparkSession)
+    named = fallback.select(*(F.col(f.name).cast(f.dataType) if f.name in fallback.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in quotes.schema))
+    found = quotes.limit(1).select(F.lit(1).alias("_found"))
+    return quotes.unionByName(named.withColumn("_found", F.lit(1)).join(found, "_found", "left_anti").drop("_found"))
+
+
 def pasted_cells(lines: Sequence[str]) -> list[list[str]]:
     """Cells of pasted lines: split at tabs if any line has one, else at two blanks or more, else as CSV."""
     if any("\t" in x for x in lines):
@@ -109,13 +117,17 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     return read_items(spark, path, schemas.DOCUMENTS_FILE)
 
 
-def read_briefings(spark: SparkSession, path: str) -> DataFrame:
-    """Stored briefings: a file of items, or the items alone."""
+def briefing_items(documents: DataFrame) -> DataFrame:
+    """Briefings of JSON texts (``value``), each an object of items or the items alone."""
     whole = f"struct<updatedAt:string,items:array<struct<{','.join(c.replace(' ', ':') for c in schemas.BRIEFING.split(', ')).replace(' ', '')}>>>"
     alone = whole[whole.index("array<") : -1]
-    text = spark.read.text(path, wholetext=True)
     items = F.when(F.ltrim("value").startswith("["), F.from_json("value", alone)).otherwise(F.from_json("value", whole)["items"])
-    return text.select(F.inline(items))
+    return documents.select(F.inline(items))
+
+
+def read_briefings(spark: SparkSession, path: str) -> DataFrame:
+    """Stored briefings: a file of items, or the items alone."""
+    return briefing_items(spark.read.text(path, wholetext=True))
 
 
 def keywords_of(lines: DataFrame) -> DataFrame:

@@ -205,3 +205,76 @@ def test_only_todays_rows_are_taken(spark, site):
     ask = lambda today: session.todays_rows(spark, options(site), "c", "b", ["isu_cd", "tdd_clsprc"], today, fields='{"gNo": ""}', attempts="1")
     assert [tuple(r) for r in ask(dt.date(2024, 1, 5)).collect()] == [("2024-01-05", "KAU25", "1,000", dt.date(2024, 1, 5))]
     assert ask(dt.date(2024, 1, 6)).count() == 0
+
+
+@pytest.fixture
+def shelf():
+    """A server with one versioned object; every write in ``meanwhile`` comes in between a read and a write."""
+    import base64
+    import hashlib
+
+    class Shelf:
+        text, meanwhile, puts = None, [], 0
+
+    held = Shelf()
+    version = lambda: hashlib.sha1(held.text.encode()).hexdigest()
+
+    class Handler(BaseHTTPRequestHandler):
+        def say(self, code, payload):
+            self.send_response(code)
+            self.end_headers()
+            self.wfile.write(json.dumps(payload).encode())
+
+        def do_GET(self):
+            if held.text is None:
+                return self.say(404, {})
+            self.say(200, {"sha": version(), "content": base64.b64encode(held.text.encode()).decode()})
+            if held.meanwhile:
+                held.text = held.meanwhile.pop()
+
+        def do_PUT(self):
+            held.puts += 1
+            given = json.loads(self.rfile.read(int(self.headers["Content-Length"])))
+            if self.headers["Authorization"] != "Bearer t":
+                return self.say(401, {})
+            if given.get("sha") != (version() if held.text is not None else None):
+                return self.say(409, {"message": "stale"})
+            held.text = base64.b64decode(given["content"]).decode()
+            self.say(200, {})
+
+        def log_message(self, *_):
+            pass
+
+    server = ThreadingHTTPServer(("127.0.0.1", 0), Handler)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    held.url = f"http://127.0.0.1:{server.server_port}/briefing.json"
+    yield held
+    server.shutdown()
+
+
+def test_briefings_are_published_over_versions(spark, shelf, tmp_path, monkeypatch, capsys):
+    from harrow import publish
+    from harrow.sources.versioned import Conflict, Versioned, publish_briefings
+
+    target = Versioned(shelf.url, "t")
+    one = spark.createDataFrame([("2024-01-02", "b", "up")], "briefingDate string, message string, market_tone string")
+    assert publish_briefings(spark, one, target, "now") == 1
+    first = json.loads(shelf.text)
+    assert first["updatedAt"] == "now" and first["items"][0] | {} == {"date": "2024-01-02", "title": "배출권 데일리 브리핑", "summary": "", "content": "b", "marketTone": "up", "outlook": "", "source": "Telegram"}
+    other = first | {"items": [first["items"][0] | {"date": f"2024-01-{d:02d}"} for d in range(9, 0, -1)]}
+    shelf.meanwhile = [json.dumps(other)]  # somebody writes after the read
+    new = spark.createDataFrame([("2024-01-05", "new")], "date string, content string")
+    assert publish_briefings(spark, new, target, "later", most=8) == 8 and shelf.puts == 3
+    items = json.loads(shelf.text)["items"]
+    assert [(i["date"][-1], i["content"]) for i in items] == [(str(d), "new" if d == 5 else "b") for d in range(9, 1, -1)]
+    shelf.meanwhile = [json.dumps(other | {"n": n}) for n in range(5)]
+    with pytest.raises(Conflict):
+        publish_briefings(spark, new, target, "later")
+    shelf.meanwhile = []
+    with pytest.raises(RuntimeError, match="401"):
+        publish_briefings(spark, new, Versioned(shelf.url, "wrong"), "later")
+    (tmp_path / "p.json").write_text('{"items": [{"date": "2024-02-01", "content": "c"}]}')
+    monkeypatch.setenv("HARROW_PUBLISH_URL", shelf.url)
+    monkeypatch.setenv("HARROW_PUBLISH_TOKEN", "t")
+    assert publish.main([]) == 2 and publish.main([str(tmp_path / "p.json")]) == 0
+    assert json.loads(shelf.text)["items"][0]["date"] == "2024-02-01" and "usage" in capsys.readouterr().err
