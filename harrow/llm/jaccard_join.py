@@ -48,8 +48,8 @@ from pyspark.sql import functions as F
 
 from harrow.llm.common import among, checkpoint, stored
 from harrow.llm.components import components
-from harrow.llm.memo import Memo, kept_for, use
-from harrow.llm.word_hashes import Tally
+from harrow.llm.memo import use
+from harrow.llm.word_hashes import Tally, word_hashes
 
 WORDS, ENOUGH, OF = 5, 75, 100  # linked: OF * intersection >= ENOUGH * union
 BLOCK_ROWS, BLOCK_SHINGLES = 2048, 1_000_000  # of sets that a task compares with each other
@@ -59,21 +59,18 @@ FIRST, OF_FIRST = 12, 5  # first shingles that are counted over all tasks, and h
 PER_SHINGLE, PER_VERIFIED = 2.0, 0.25
 MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
-_HASHES = kept_for("jaccard_join", Memo(xxhash.xxh3_64_intdigest))
 
+def lowered(text: str | None) -> bytes:
+    """The text with A-Z lower-cased; its words stand between ASCII white space."""
+    return (text or "").encode("utf-8", "replace").lower()
 
-def words_of(text: str | None) -> list[bytes]:
-    """Words between ASCII white space, with A-Z lower-cased."""
-    return (text or "").encode("utf-8", "replace").lower().split()
 
-
-def shingles(words: list[bytes]) -> np.ndarray:
-    """Sorted distinct hashes of the words' 5-grams."""
-    if not words:
+def shingles(h: np.ndarray) -> np.ndarray:
+    """Sorted distinct hashes of the 5-grams of words, given by their hashes in order."""
+    if not len(h):
         return np.empty(0, np.uint64)
-    h = np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
     n = max(1, len(h) - WORDS + 1)
-    mixed = np.full(n, len(words) if len(words) < WORDS else 0, np.uint64)
+    mixed = np.full(n, len(h) if len(h) < WORDS else 0, np.uint64)
     for k in range(min(WORDS, len(h))):
         mixed += h[k : k + n] * MULTIPLIERS[k]
     mixed ^= mixed >> np.uint64(29)
@@ -109,9 +106,9 @@ def counted_shingles(docs: DataFrame, text: str, over: int, most: int) -> tuple[
         for batch in batches:
             firsts, owners = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
             for t in batch.column(0).to_pylist():
-                words = words_of(t)
-                digest = xxhash.xxh3_128_digest(b" ".join(words))
-                if words and digest not in seen:  # equal documents of a part count once
+                words = word_hashes(lowered(t))
+                digest = xxhash.xxh3_128_digest(words.tobytes())
+                if len(words) and digest not in seen:  # equal documents of a part count once
                     seen.add(digest)
                     s = shingles(words)
                     firsts.append(s[:FIRST].astype(np.int64))
@@ -161,11 +158,11 @@ def prepared(docs: DataFrame, key: str, text: str, common: np.ndarray, lists: np
         for batch in batches:
             out: dict[str, list] = {c.split()[0]: [] for c in PREPARED.split(", ")}
             for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                words = words_of(t)
-                joined = b" ".join(words)
-                digest = xxhash.xxh3_128_digest(joined)
+                raw = lowered(t)
+                words = word_hashes(raw)
+                digest = xxhash.xxh3_128_digest(words.tobytes())
                 s = shingles(words)
-                n, fresh = len(s), bool(words) and digest not in seen
+                n, fresh = len(s), len(words) > 0 and digest not in seen
                 prefix, last, asked = None, 0, 1
                 if fresh:
                     if len(seen) > 500_000:
@@ -178,7 +175,7 @@ def prepared(docs: DataFrame, key: str, text: str, common: np.ndarray, lists: np
                     prefix = rest[: spared(n) + asked] if asked else rest
                     last = int(prefix[-1] >> np.uint64(1)) if asked else np.iinfo(np.int64).max
                 d1, d2 = np.frombuffer(digest, np.int64)
-                for c, x in zip(out, (i, int(d1), int(d2), n, asked, last, None if prefix is None else prefix.astype(np.int64), packer.compress(joined) if fresh else None), strict=True):
+                for c, x in zip(out, (i, int(d1), int(d2), n, asked, last, None if prefix is None else prefix.astype(np.int64), packer.compress(raw) if fresh else None), strict=True):
                     out[c].append(x)
             yield pa.RecordBatch.from_pydict({c: pa.array(v, t) for (c, v), t in zip(out.items(), (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.binary()), strict=True)})
 
@@ -290,7 +287,7 @@ def candidates(counts: DataFrame) -> DataFrame:
 
 
 def unpacked(words: bytes) -> np.ndarray:
-    return shingles(zstandard.decompress(words).split())
+    return shingles(word_hashes(zstandard.decompress(words)))
 
 
 def verified(pairs: DataFrame, classes: DataFrame) -> DataFrame:
