@@ -15,7 +15,6 @@ replaces an input column of the same name.
 from __future__ import annotations
 
 import re
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -60,7 +59,7 @@ class MergeEncoder:
         self.known = re.compile("[^" + "".join(re.escape(p) for p in whole if len(p) == 1) + "]")
         encoder = self
 
-        self.units = Memo(lambda unit: tuple(encoder.encode_unit(unit)), most=300_000)
+        self.units = Memo(lambda unit: np.array(encoder.encode_unit(unit), np.int32).tobytes(), most=500_000)
 
     def merged(self, text: str) -> list[str]:
         """The pieces after merging the best-scored neighbours, leftmost first, until none can be merged."""
@@ -132,10 +131,10 @@ class MergeEncoder:
 
     UNIT = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
-    def encode(self, text: str) -> chain:
+    def encode(self, text: str) -> np.ndarray:
         """Ids of a whole text, without the end id."""
         units = self.UNIT.findall(SPACE + text.replace(" ", SPACE)) if text else []
-        return chain.from_iterable(map(self.units.__getitem__, units))
+        return np.frombuffer(b"".join(map(self.units.__getitem__, units)), np.int32)
 
     def decode(self, ids: list[int]) -> str:
         shown = self.shown
@@ -193,7 +192,7 @@ def encode_column(text: Column, model_path: str, *, end_id: bool = True) -> Colu
     def encode(texts: pa.Array) -> pa.Array:
         e, parts, ends = encoder(model_path), [], [0]
         for t in texts.to_pylist():
-            ids = np.fromiter(e.encode(t or ""), np.int32)
+            ids = e.encode(t or "")
             parts += [ids, np.array([e.eos], np.int32)] if end_id else [ids]
             ends.append(ends[-1] + len(ids) + end_id)
         return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.empty(0, np.int32), *parts])))
