@@ -149,6 +149,46 @@ def test_bounds_hold_for_odd_titles():
                     assert N.Titles([titles[i]], mode).may_reach(N.Titles([titles[j], "q"], mode).summary())
 
 
+def test_blocks_are_looked_for_in_few_titles():
+    """Titles of the same letters, as those of one language are: a common subsequence tells them apart."""
+    import random
+
+    import numpy as np
+
+    from harrow.operators import near_titles as N
+
+    rng = random.Random(5)
+    titles = N.Titles(["".join(rng.choices("etaoinshrdlucmfwypvb", k=60)) for _ in range(200)] + ["x" * 60 + "y" * 30, "y" * 29 + "x" * 61], "blocks")
+    label = np.arange(202)
+    links, compared = N.joined(titles, titles, label, label, same=True)
+    assert links == [(200, 201)] and compared < 200  # of 20,000 pairs
+
+
+def test_common_subsequences():
+    import random
+
+    import numpy as np
+
+    from harrow.operators import near_titles as N
+
+    def longest(a, b):
+        row = [0] * (len(b) + 1)
+        for c in a:
+            row = next_row(row, c, b)
+        return row[-1]
+
+    def next_row(row, c, b):
+        out = [0]
+        for j, d in enumerate(b):
+            out.append(row[j] + 1 if c == d else max(row[j + 1], out[j]))
+        return out
+
+    rng = random.Random(6)
+    xs, ys = (["".join(rng.choices(letters, k=n)) for letters in ("ab", "abcd가나") for n in (0, 1, 40, 63, 64, 65, 130, 200)] for _ in range(2))
+    x, y = np.divmod(np.arange(len(xs) * len(ys)), len(ys))
+    assert N.subsequences(xs, ys, x, y).tolist() == [longest(xs[i], ys[j]) for i, j in zip(x, y, strict=True)]
+
+
 def test_lanes_and_pages(spark):
     from harrow.operators import relational
 
