@@ -61,9 +61,8 @@ def normalized_title(title: Column) -> Column:
 
 
 def all_bigrams(text: Column) -> Column:
-    n = F.char_length(text)
-    grams = F.transform(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), lambda i: F.substring(text, i, F.lit(2)))
-    return F.when(n >= 2, grams).otherwise(F.array().cast("array<string>"))
+    # One pass: in a lambda over the places, the text's own expression would be computed again for each of them.
+    return F.coalesce(F.regexp_extract_all(text, F.lit(r"(?s)(?=(..))."), F.lit(1)), F.array().cast("array<string>"))
 
 
 def bigrams(text: Column) -> Column:

@@ -69,3 +69,11 @@ def test_attributes_are_decoded(spark):
 
 def test_cleaned_html_is_decoded(spark):
     assert values(spark, ["<p>a &lt;b&gt; c&nbsp;&amp;amp; d</p>"], text.clean_html) == ["a c &amp; d"]
+
+
+def test_bigrams_compute_their_text_once(spark):
+    rows = spark.createDataFrame([("😀a가",), ("a\nb",), (None,), ("[x] abab",)], "x string")
+    assert [r[0] for r in rows.select(text.all_bigrams(F.col("x"))).collect()][:3] == [["😀a", "a가"], ["a\n", "\nb"], []]
+    grams = rows.select(text.bigrams(text.normalized_title(F.col("x"))).alias("g"))
+    assert [r[0] for r in grams.collect()] == [["a가"], ["ab"], [], ["ab", "ba"]]
+    assert grams._jdf.queryExecution().optimizedPlan().toString().count("[^0-9a-z가-힣]+") == 1
