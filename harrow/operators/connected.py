@@ -14,7 +14,10 @@ def components(links: DataFrame) -> DataFrame:
     In each round every id takes the smallest label among its neighbours', and then that label's own label, so the number
     of rounds grows as the logarithm of the longest path.  Each round is checkpointed.
     """
-    both = checkpoint(links.union(links.select("b", "a")).where("a != b").distinct())
+    ends = lambda a, b: F.struct(F.col(a).alias("a"), F.col(b).alias("b"))
+    # Exploded, not united: a union would compute the links twice.
+    both = links.where("a != b").select(F.explode(F.array(ends("a", "b"), ends("b", "a"))).alias("l"))
+    both = checkpoint(both.select("l.a", "l.b").distinct())
     state = checkpoint(both.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("m")).select("id", F.least("id", "m").alias("label")))
     while True:
         lowest = both.join(state.withColumnRenamed("id", "b"), "b").groupBy(F.col("a").alias("id")).agg(F.min("label").alias("low"))

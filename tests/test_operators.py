@@ -189,6 +189,40 @@ def test_common_subsequences():
     assert N.subsequences(xs, ys, x, y).tolist() == [longest(xs[i], ys[j]) for i, j in zip(x, y, strict=True)]
 
 
+def test_titles_of_a_block_take_little_memory():
+    """Tasks keep several blocks: bitmaps of their titles, not their sets of elements."""
+    import random
+    import tracemalloc
+
+    from harrow.operators import near_titles as N
+
+    rng = random.Random(7)
+    titles = ["".join(rng.choices("etaoinshrdlu", k=120)) for _ in range(512)]
+    for mode in ("set", "bag", "blocks"):
+        tracemalloc.start()
+        kept = N.Titles(titles, mode)
+        assert tracemalloc.get_traced_memory()[0] < 512 * 1024 and kept.titles is titles
+        tracemalloc.stop()
+
+
+def test_components_compute_links_once(spark):
+    from harrow.llm import components as C
+    from harrow.operators import connected
+
+    for components in (connected.components, C.components):
+        rows = spark.sparkContext.accumulator(0)
+
+        def counted(batches, rows=rows):
+            for batch in batches:
+                rows.add(batch.num_rows)
+                yield batch
+
+        pairs = [(1, 2), (2, 3), (7, 7), (9, 8), (3, 1), (20, 8), (4, 5)]
+        links = spark.createDataFrame(pairs, "a long, b long").mapInArrow(counted, "a long, b long")
+        assert {tuple(r) for r in components(links).collect()} == {(1, 1), (2, 1), (3, 1), (8, 8), (9, 8), (20, 8), (4, 4), (5, 4)}
+        assert rows.value == len(pairs)
+
+
 def test_lanes_and_pages(spark):
     from harrow.operators import relational
 
