@@ -14,11 +14,14 @@ def components(links: DataFrame) -> DataFrame:
     Each round gives every id the smallest label among itself and its neighbours, then that label's label, so the number
     of rounds grows with the logarithm of the longest path.  Rounds are kept in the shared folder, which cuts lineage.
     """
-    both = checkpoint(links.select("a", "b").union(links.select("b", "a")).where("a != b").distinct())
-    labels = checkpoint(both.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("m")).select("id", F.least("id", "m").alias("label")))
+    ends = lambda a, b: F.struct(F.col(a).alias("a"), F.col(b).alias("b"))
+    # Exploded, not united, so that links are computed once; each id is its own neighbour.
+    both = links.where("a != b").select(F.explode(F.array(ends("a", "b"), ends("b", "a"), ends("a", "a"), ends("b", "b"))).alias("l"))
+    both = checkpoint(both.select("l.a", "l.b").distinct())
+    labels = checkpoint(both.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("label")))
     while True:
-        near = both.join(labels.withColumnRenamed("id", "b"), "b").groupBy(F.col("a").alias("id")).agg(F.min("label").alias("near"))
-        lower = labels.join(near, "id").select("id", "label", F.least("label", "near").alias("new"))
+        own = F.min(F.when(F.col("a") == F.col("b"), F.col("label")))
+        lower = both.join(labels.withColumnRenamed("id", "b"), "b").groupBy(F.col("a").alias("id")).agg(own.alias("label"), F.min("label").alias("new"))
         jump = lower.select(F.col("id").alias("new"), F.col("new").alias("far"))
         moved = checkpoint(lower.join(jump, "new", "left").select("id", "label", F.least("new", F.coalesce("far", "new")).alias("new")))
         if moved.where("new != label").isEmpty():
